@@ -56,3 +56,17 @@ def pick(docs: DataFrame, *names: str) -> DataFrame:
 
 def ranges_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Arrow batches of whole texts stay small: at most ``rows`` rows each, for the session's Python stages."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def boosted(train: DataFrame, rounds: int = 20, depth: int = 3):
+    """Gradient-boosted trees on ``features`` (a vector) and ``label``; None unless both labels occur."""
+    from pyspark.ml.classification import GBTClassifier
+
+    if train.select("label").distinct().count() < 2:
+        return None
+    return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32, minInstancesPerNode=3).fit(train)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import exact_dedup, sharding
+from voxmill.llm import exact_dedup, pii, sharding, toxicity
 from voxmill.llm.common import table
 
 SHARDS = 16
@@ -24,7 +24,17 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digests=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of personal data in every document."""
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op8_toxicity, op9_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
