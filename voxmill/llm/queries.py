@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import exact_dedup, pii, sharding, toxicity
+from voxmill.llm import exact_dedup, packing, pii, sharding, token_counts, toxicity
 from voxmill.llm.common import table
 
 SHARDS = 16
@@ -24,6 +24,16 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digests=True)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of each line of every document; a crossing token goes to the line that holds most of it."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), rule="most")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -34,7 +44,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op8_toxicity, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op5_token_counts, op8_toxicity, op9_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
