@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import exact_dedup, packing, pii, sharding, token_counts, toxicity
+from voxmill.llm import decontamination, exact_dedup, packing, pii, sharding, token_counts, toxicity
 from voxmill.llm.common import table
 
 SHARDS = 16
@@ -34,6 +34,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), rule="most")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with a passage of the benchmark, and the item."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -44,7 +49,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op5_token_counts, op8_toxicity, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op5_token_counts, op7_decontamination, op8_toxicity, op9_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
