@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import decontamination, exact_dedup, packing, pii, sharding, token_counts, toxicity
+from voxmill.llm import decontamination, exact_dedup, jaccard_join, packing, pii, sharding, token_counts, toxicity
 from voxmill.llm.common import table
 
 SHARDS = 16
@@ -49,7 +49,12 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op5_token_counts, op7_decontamination, op8_toxicity, op9_pii)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The components of documents whose sets of four-word shingles reach 0.85."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op5_token_counts, op7_decontamination, op8_toxicity, op9_pii, op10_jaccard_join)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
