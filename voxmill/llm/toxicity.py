@@ -12,7 +12,7 @@ at most about ``max_labels`` labelled rows, drawn by hash; scoring reads every t
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -126,13 +126,8 @@ def with_features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
     return rows.select(*others, array_to_vector(dense("text")).alias("features"))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs(doc_id, text).
-
-    labels(doc_id, toxic): null labels are ignored, and a doc_id labelled twice counts as often. Null texts
-    count as empty. When a fold lacks one of the two labels (as with no labels at all), every score is the smoothed
-    base rate of the labelled rows, 0.5 without any. A null doc_id is not held out.
-    """
+def trained(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> Callable[[DataFrame], DataFrame]:
+    """A function that gives rows(text, ...) a ``score`` in place of the text; see ``score_documents``."""
     spark = docs.sparkSession
     small_batches(spark)
     known = pick(labels, "doc_id", "toxic").where("toxic IS NOT NULL AND doc_id IS NOT NULL").withColumn("fold", fold()).where("fold <> 0")
@@ -145,20 +140,39 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000
     lexicon = learned_lexicon(train.where("fold IN (1, 2)"))
     dense = stored(with_features(train.where("fold IN (3, 4)"), lexicon), "dense").coalesce(8)
     trees = boosted(dense.where("fold = 3"))
-    out = whole.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "text")
     if trees is None:
-        rate = (positive + 1.0) / (n + 2.0)
-        return out.select("doc_id", "held_out", F.lit(rate).alias("score"), F.lit(int(rate >= 0.5)).alias("predicted"))
+        rate = F.lit((positive + 0.1) / (n + 1.0))
+        return lambda rows: rows.withColumn("score", rate).drop("text")
 
     def raw(rows: DataFrame) -> DataFrame:
         return trees.transform(rows).withColumn("raw", vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction", "features")
 
     seen = raw(dense.where("fold = 4"))
-    scored = raw(with_features(out, lexicon))
-    if seen.select("label").distinct().count() == 2:
-        level = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="level").fit(seen)
-        scored = level.transform(scored)
-        # within a level of the step function the trees' own order stays
-        scored = scored.withColumn("raw", F.col("level") * 0.99 + F.col("raw") * 0.01)
-    score = F.least(F.greatest(F.col("raw"), F.lit(0.0)), F.lit(1.0))
-    return scored.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    level = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="level").fit(seen) if seen.select("label").distinct().count() == 2 else None
+
+    def score(rows: DataFrame) -> DataFrame:
+        scored = raw(with_features(rows, lexicon))
+        if level is not None:
+            # within a level of the step function the trees' own order stays
+            scored = level.transform(scored).withColumn("raw", F.col("level") * 0.99 + F.col("raw") * 0.01).drop("level")
+        return scored.withColumn("score", F.least(F.greatest(F.col("raw"), F.lit(0.0)), F.lit(1.0))).drop("raw")
+
+    return score
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of docs(doc_id, text).
+
+    labels(doc_id, toxic): null labels are ignored, and a doc_id labelled twice counts as often. Null texts
+    count as empty. When a fold lacks one of the two labels (as with no labels at all), every score is the smoothed
+    base rate of the labelled rows, 0.1 without any. A null doc_id is not held out.
+    """
+    held = F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
+    rows = pick(docs, "doc_id", "text").select("doc_id", held, text_or_empty().alias("text"))
+    return trained(docs, labels, max_labels)(rows).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def civil_documents(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> DataFrame:
+    """The documents that score under 0.5, with their own columns; a filter in the scan, without a join."""
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), text_or_empty(docs["text"]).alias("text"))
+    return trained(docs, labels, max_labels)(rows).where("score < 0.5").select("row.*")
