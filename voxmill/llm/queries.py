@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import decontamination, exact_dedup, jaccard_join, packing, pii, sharding, token_counts, toxicity
+from voxmill.llm import decontamination, exact_dedup, jaccard_join, line_dedup, packing, pii, sharding, token_counts, toxicity
 from voxmill.llm.common import table
 
 SHARDS = 16
@@ -29,6 +29,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when lines go that equal, or are one edit from, an earlier line."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of each line of every document; a crossing token goes to the line that holds most of it."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), rule="most")
@@ -54,7 +59,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op5_token_counts, op7_decontamination, op8_toxicity, op9_pii, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op4_line_dedup, op5_token_counts, op7_decontamination, op8_toxicity, op9_pii, op10_jaccard_join)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
