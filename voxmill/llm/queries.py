@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import decontamination, exact_dedup, jaccard_join, line_dedup, packing, pii, sharding, token_counts, toxicity
+from voxmill.llm import decontamination, exact_dedup, jaccard_join, line_dedup, packing, pii, sharding, suffix_dedup, token_counts, toxicity
 from voxmill.llm.common import table
 
 SHARDS = 16
@@ -39,6 +39,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), rule="most")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when each repeated string of 200 bytes goes."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with a passage of the benchmark, and the item."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -59,7 +64,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op4_line_dedup, op5_token_counts, op7_decontamination, op8_toxicity, op9_pii, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_packing, op4_line_dedup, op5_token_counts, op6_suffix_dedup, op7_decontamination, op8_toxicity, op9_pii, op10_jaccard_join)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
