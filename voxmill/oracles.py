@@ -76,6 +76,7 @@ found AS (SELECT face, i, leaf, min(i) OVER (PARTITION BY face) AS skipped, (row
 
 ORACLES = {
     "tile_catalog": _with(_BOXES) + "SELECT id, printf('/%02d/%05d', id % 100, id) AS path, ox, oy, oz, sx, sy, sz, '16,32,64,1' AS dims, '3,' || (id % 20 + 10) || ',60' AS zlims FROM boxes",
+    "load_tiles": _with(_VOXELS) + "SELECT 'tile' || src AS path, c, x, y, z, max(v) AS v FROM voxels WHERE v > 0 GROUP BY ALL",
     "tile_count": _with(_BOXES) + "SELECT printf('/%02d', id % 100) AS folder, count(*) AS n, min(id) AS first_id FROM boxes GROUP BY 1",
     "tile_attrs": _with(_BOXES) + "SELECT id, printf('/%02d/%05d', id % 100, id) AS path, 1 AS nchannels, ox || ',' || oy || ',' || oz AS ori FROM boxes",
     "grid_validate": _with(_BOXES) + "SELECT id, CASE WHEN 60 >= 64 THEN 'zlims_inside' ELSE '' END AS broken FROM boxes",

@@ -13,7 +13,7 @@ from voxmill.functions import geometry as g
 from voxmill.functions.geometry import AXES, BOX
 from voxmill.jobs import logs
 from voxmill.operators import merge, octree, projection, resample, spatial
-from voxmill.sources import catalog, derived
+from voxmill.sources import catalog, derived, tiff
 
 VOXEL_UM = (0.002, 0.002, 0.002)
 MAX_PIXELS = 20_000
@@ -50,6 +50,12 @@ def tile_catalog(spark, d):
     return t.select("id", "path", *BOX, F.concat_ws(",", "dims").alias("dims"), F.concat_ws(",", "zlims").alias("zlims"))
 
 
+def load_tiles(spark, d):
+    """The tiles of each source written as TIFF stacks and read again."""
+    v = derived.voxels(spark, d).withColumn("path", F.concat(F.lit("tile"), F.col("src").cast("string")))
+    return tiff.decoded(tiff.encoded(v, (16, 16, 16)))
+
+
 def tile_count(spark, d):
     return derived.tiles(spark, d).groupBy(F.substring("path", 1, 3).alias("folder")).agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
@@ -459,7 +465,7 @@ FLAGSHIP = "leaf_tile_count"
 QUERIES = {
     f.__name__: f
     for f in (
-        leaf_tile_count, tile_catalog, tile_count, tile_attrs, grid_validate, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
+        leaf_tile_count, tile_catalog, load_tiles, tile_count, tile_attrs, grid_validate, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
         leaf_shape_search, transform_params, roi_box, roi_from_morton, tiles_in_roi, subtile_corners, subtile_aabb, leaf_transform, subtile_slice, morton_decode, face_paths, quadtree_to_xy,
         face_leaf_stack, face_stack_voxels, crop_range, scale_clamp, path_ops, octal_digits, human_readable, string_scalars, math_scalars, array_scalars, leaf_tile_overlap, solo_leaves,
         octree_descend, subtiles_per_leaf, tiles_per_box, kd_jobs, tile_locality_order, max_merge, merge_octrees, exclude_nodes, downsample_first, downsample_mean, downsample_second,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterator
 
@@ -57,9 +58,8 @@ def decode(raw: bytes) -> np.ndarray:
 VOXELS = "path string, c int, x int, y int, z int, v int"
 
 
-def load_tiles(spark: SparkSession, folder: str) -> DataFrame:
-    """Voxels over 0 of all ``<name>.<channel>.tif`` files below a folder; the x and y of a file are swapped."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[0-9].tif").load(folder)
+def decoded(files: DataFrame) -> DataFrame:
+    """VOXELS over 0 of files(path, c, content), one task at a time holding one stack; a file's x and y are swapped."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -68,27 +68,40 @@ def load_tiles(spark: SparkSession, folder: str) -> DataFrame:
                 z, x, y = np.nonzero(stack)
                 yield pd.DataFrame({"path": r.path, "c": r.c, "x": x, "y": y, "z": z, "v": stack[z, x, y].astype(int)})
 
+    return files.select("path", "c", "content").mapInPandas(run, VOXELS)
+
+
+def encoded(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+    """(path, c, content): voxels(path, c, x, y, z, v) as one stack per path and channel; a group is one tile of that shape."""
+
+    def stack_of(f: pd.DataFrame) -> pd.DataFrame:
+        stack = np.zeros((shape[2], shape[0], shape[1]), np.uint16)
+        np.maximum.at(stack, (f.z, f.x, f.y), f.v.astype(np.uint16))
+        return pd.DataFrame({"path": [f.path.iloc[0]], "c": [f.c.iloc[0]], "content": [encode(stack)]})
+
+    return voxels.groupBy("path", "c").applyInPandas(stack_of, "path string, c int, content binary")
+
+
+def load_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """VOXELS of all ``<name>.<channel>.tif`` files below a folder."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[0-9].tif").load(folder)
     name = F.regexp_replace("path", r"\.[0-9]\.tif$", "")
-    return files.select(name.alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"), "content").mapInPandas(run, VOXELS)
+    return decoded(files.select(name.alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"), "content"))
 
 
-def save_tiles(voxels: DataFrame, folder: str, shape: tuple[int, int, int]) -> DataFrame:
-    """Write voxels(path, c, x, y, z, v) as one TIFF per path and channel below a folder; returns (path, c, n_bytes) when run.
+def save_tiles(voxels: DataFrame, folder: str, shape: tuple[int, int, int]) -> None:
+    """Write one TIFF per path and channel below a folder that all executors share.
 
-    Each file is written by the task that holds its voxels, first under another name, so a task that runs again replaces it whole.
+    A file is written under another name and then renamed, so a task that runs again replaces it whole.
     """
-    import os
 
-    def write(f: pd.DataFrame) -> pd.DataFrame:
-        stack = np.zeros((shape[2], shape[0], shape[1]), np.uint16)
-        stack[f.z, f.x, f.y] = f.v
-        name = os.path.join(folder, f"{f.path.iloc[0]}.{f.c.iloc[0]}.tif")
-        os.makedirs(os.path.dirname(name), exist_ok=True)
-        raw = encode(stack)
-        part = f"{name}.{os.getpid()}"
-        with open(part, "wb") as out:
-            out.write(raw)
-        os.replace(part, name)
-        return pd.DataFrame({"path": [f.path.iloc[0]], "c": [f.c.iloc[0]], "n_bytes": [len(raw)]})
-
-    return voxels.groupBy("path", "c").applyInPandas(write, "path string, c int, n_bytes long")
+    def write(rows) -> None:
+        for r in rows:
+            name = os.path.join(folder, f"{r.path}.{r.c}.tif")
+            os.makedirs(os.path.dirname(name), exist_ok=True)
+            part = f"{name}.{os.getpid()}"
+            with open(part, "wb") as out:
+                out.write(r.content)
+            os.replace(part, name)
+
+    encoded(voxels, shape).foreachPartition(write)
