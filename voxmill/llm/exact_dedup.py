@@ -63,10 +63,12 @@ def exact_dedup(docs: DataFrame, digests: bool = False, slots: int = 1 << 18) ->
     )
     hashed = stored(hashed, "hashed")
     order = F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus_id"))
-    groups = (
+    # stored, so that the join below is of plain rows and adaptive execution can split a hot group
+    groups = stored(
         hashed.where("live").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(order).alias("best"))
         .where("group_size > 1")
-        .select("text_sha256", "group_size", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.points").alias("best_points"))
+        .select("text_sha256", "group_size", (-F.col("best.minus_id")).alias("keep_id")),
+        "groups",
     )
     joined = hashed.join(groups, "text_sha256", "left")
     out = joined.select(
