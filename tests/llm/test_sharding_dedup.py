@@ -63,6 +63,16 @@ def test_rows_law_and_edges(spark):
         sharding.shard(docs, 4, law="none")
 
 
+def test_written_shards_hold_all_rows(spark, tmp_path):
+    rows = [(i // 2, f"text {i} " * (i % 40), i) for i in range(300)] + [(None, None, 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
+    sharding.write_shards(docs, f"{tmp_path}/out", 4, 16)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(map(str, back.drop("_shard").collect())) == sorted(map(str, docs.collect()))
+    sizes = [r[0] for r in back.groupBy("_shard").agg({"text": "count"}).select("count(text)").collect()]
+    assert len(sizes) == 4
+
+
 def test_dedup_edges(spark):
     texts = [(1, None), (2, ""), (3, " \t\n\x0b\x0c\r"), (4, "a b"), (5, "ab"), (6, "a  b"), (7, "a  b"), (8, "A b"), (9, "é " * 70 + "x"), (10, "é " * 70 + "y"), (11, "a b"), (None, "q"), (None, "q"), (12, "q")]
     docs = spark.createDataFrame([(i, t, 0, "x") for i, t in texts], "doc_id long, text string, slot int, normal string")

@@ -86,18 +86,19 @@ def splitters(slim: DataFrame, ranges: int, oversampling: int = 8, rounds: int =
     raise AssertionError("unreachable")
 
 
-def shard(records: DataFrame, shards: int, ranges: int = 1024, law: str = "bytes") -> DataFrame:
+def shard(records: DataFrame, shards: int, ranges: int = 1024, law: str = "bytes", split: tuple[list[int], list] | None = None) -> DataFrame:
     """``records`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     records: has ``key`` long and ``size`` long > 0; other columns are carried along. law ``bytes``:
     shards are equal in bytes to within one record on either side; ``rows``: in rows, to within one.
     An empty table gives an empty result; repeated rows each get a slot of their own. Rows whose keys
-    are equal can't be told apart by a range, so they meet in one task as slim rows.
+    are equal can't be told apart by a range, so they meet in one task as slim rows. split: what ``splitters`` gave for
+    the same keys and sizes, if known.
     """
     if law not in ("bytes", "rows"):
         raise ValueError(f"no such law: {law}")
     spark = records.sparkSession
-    bounds, filled = splitters(records, ranges)
+    bounds, filled = split or splitters(records, ranges)
     total = sum(b for _, b, _ in filled) if law == "bytes" else sum(n for _, _, n in filled)
     starts, seen_bytes, seen_rows = [], 0, 0
     for r, b, n in filled:
@@ -121,23 +122,28 @@ def shard(records: DataFrame, shards: int, ranges: int = 1024, law: str = "bytes
     return placed.join(F.broadcast(first), "shard").withColumn("slot", F.col("place") - F.col("first_place")).drop("place", "first_place")
 
 
+def _slim() -> list[Column]:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [(F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), record_key(text, F.col("doc_id")).alias("key")]
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, ranges: int = 1024, law: str = "bytes") -> DataFrame:
     """doc_id, size, text_crc32, shard, slot, range of every row of docs(doc_id, text).
 
     size: UTF-8 bytes of the text plus 1. A null text has size 1 and the checksum of no bytes (0), and
     lies with the empty texts. Null and repeated ids are kept as rows of their own.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    slim = pick(docs, "doc_id", "text").select(
-        "doc_id",
-        (F.octet_length(text).cast("long") + 1).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        record_key(text, F.col("doc_id")).alias("key"),
-    )
+    slim = pick(docs, "doc_id", "text").select("doc_id", *_slim())
     return shard(stored(slim, "slim"), shards, ranges, law).drop("key")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
-    """docs with their texts as one folder per shard; each range is one file, written by one task."""
-    placed = shard_documents(docs, shards).select("doc_id", "shard", "slot", "range")
-    docs.join(placed, "doc_id").repartition("shard", "range").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int = 16, ranges: int = 1024) -> None:
+    """The rows of docs as one folder per shard, in the order of their slots; each range of keys is one file, written by one task.
+
+    Texts are scanned twice and shuffled twice: by range to be placed, and to the writer of their file.
+    """
+    split = splitters(stored(pick(docs, "doc_id", "text").select(*_slim()), "slim"), ranges)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"], docs["text"]).select("row", "doc_id", *_slim())
+    placed = shard(rows, shards, ranges, split=split)
+    flat = placed.select("row", F.col("shard").alias("_shard"), "slot", "range").repartition("_shard", "range").sortWithinPartitions("_shard", "slot")
+    flat.select("row.*", "_shard").write.partitionBy("_shard").parquet(path)
