@@ -31,8 +31,8 @@ def levels(box: DataFrame, depth: int) -> list[DataFrame]:
     return out
 
 
-def descend(tiles: DataFrame, box: DataFrame, depth: int) -> DataFrame:
-    """(path, level, id) of each node and tile that overlap, going down only where they do."""
+def descend(tiles: DataFrame, box: DataFrame, depth: int, leaves_only: bool = False) -> DataFrame:
+    """(path, level, id) of each node and tile that overlap, going down only where they do; no join below the root."""
     pairs = tiles.alias("t").join(F.broadcast(root(box).alias("n")), aabb_hit("t", "n"))
     keep = ["path", "level", "morton", *BOX]
     found = [pairs.select("t.id", *[F.col(f"t.{c}").alias(f"t{c}") for c in BOX], *[F.col(f"n.{c}") for c in keep])]
@@ -44,7 +44,7 @@ def descend(tiles: DataFrame, box: DataFrame, depth: int) -> DataFrame:
         new = each.select("tile.*", path.alias("path"), (F.col("level") + 1).alias("level"), (F.col("morton") * 8 + F.col("digit") - 1).alias("morton"), *[b[c].alias(c) for c in BOX])
         hit = F.expr(" AND ".join(f"least(to{x} + ts{x}, o{x} + s{x}) > greatest(to{x}, o{x})" for x in AXES))
         found.append(new.where(hit))
-    return reduce(DataFrame.unionByName, found)
+    return found[-1] if leaves_only else reduce(DataFrame.unionByName, found)
 
 
 def locality(pairs: DataFrame) -> DataFrame:

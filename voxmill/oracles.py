@@ -124,7 +124,7 @@ SELECT vec_id, array_to_string(list_sort(list_distinct(lims)), ',') AS ordered,
   len(list_filter(embedding, lambda x: x > 0))::INT AS positive, label || ',' || label AS repeated, list_position(lims, lims[4])::BIGINT AS found FROM l""",
     "leaf_tile_overlap": _with(_BOXES, _BBOX, _NODES, recursive=True) + f"SELECT b.path, a.id FROM boxes a JOIN nodes b ON b.level = 2 AND {_HIT}",
     "leaf_tile_count": _with(_BOXES, _BBOX, _NODES, recursive=True) + f"SELECT b.morton, count(DISTINCT a.id) AS ntiles FROM boxes a JOIN nodes b ON b.level = 2 AND {_HIT} GROUP BY 1",
-    "solo_leaves": _with(_BOXES) + "SELECT ox // 40 AS cx, oy // 40 AS cy, oz // 40 AS cz, min(id) AS id FROM boxes GROUP BY 1, 2, 3 HAVING count(*) = 1",
+    "solo_leaves": _with(_BOXES, _BBOX, _NODES.replace("level < 2", "level < 5"), recursive=True) + f"SELECT b.path, min(a.id) AS id FROM boxes a JOIN nodes b ON b.level = 5 AND {_HIT} GROUP BY b.path HAVING count(*) = 1",
     "octree_descend": _with(_BOXES, _BBOX, _NODES, recursive=True) + f"SELECT b.path, b.level, count(*) AS ntiles FROM boxes a JOIN nodes b ON {_HIT} GROUP BY ALL",
     "subtiles_per_leaf": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, recursive=True) + f"SELECT b.path, a.id, count(*) AS expected FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} GROUP BY ALL",
     "tiles_per_box": _with(_BOXES, _BBOX, _NODES, recursive=True) + f"SELECT b.path, count(*) AS ntiles FROM boxes a JOIN nodes b ON b.level = 1 AND {_HIT} GROUP BY ALL",

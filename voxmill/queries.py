@@ -265,10 +265,9 @@ def leaf_tile_count(spark, d):
 
 
 def solo_leaves(spark, d):
-    """Leaves of single tiles' own boxes met by few others: leaves of 8^DEPTH per tile group with one contributor."""
-    b = derived.boxes(spark, d)
-    cell = [F.floor(F.col(f"o{a}") / 40).alias(f"c{a}") for a in AXES]
-    return b.select("id", *cell).groupBy(*[f"c{a}" for a in AXES]).agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").drop("n")
+    """Leaves of level 5 with a single contributor."""
+    pairs = octree.descend(derived.boxes(spark, d), _bbox(spark, d), 5, leaves_only=True)
+    return pairs.groupBy("path").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").drop("n")
 
 
 def octree_descend(spark, d):
