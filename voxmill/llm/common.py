@@ -26,11 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again.
 
-    It cuts the lineage: a lost executor costs later stages nothing but a new read.
+    It cuts the lineage: a lost executor costs later stages nothing but a new read. The table is deleted when
+    the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
