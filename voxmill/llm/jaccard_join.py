@@ -181,14 +181,18 @@ def links_of(ids: np.ndarray, sets: list[np.ndarray], is_member: np.ndarray, is_
     return [(int(ids[i]), int(ids[r])) for i, r in roots if i != r]
 
 
-def verified(whole: DataFrame, members: DataFrame, opened: DataFrame, k: int, percent: int, task_queries: int) -> DataFrame:
+def verified(whole: DataFrame, members: DataFrame, opened: DataFrame, k: int, percent: int, task_queries: int, slots: int = 1 << 18) -> DataFrame:
     """(a, b) links that join all documents whose sets are linked, from the opened groups."""
     dealt = opened.groupBy("g").agg(F.ceil(F.count("*") / task_queries).alias("deals"))
     as_query = opened.join(dealt, "g").select(F.col("q").alias("id"), "g", F.pmod(F.xxhash64("q"), F.col("deals")).alias("deal"), F.lit(True).alias("query"))
     as_member = members.join(dealt, "g").select("id", "g", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.lit(False).alias("query"))
     roles = as_query.unionByName(as_member.withColumn("deal", F.col("deal").cast("long")))
-    routes = roles.groupBy("id").agg(F.collect_list(F.struct("g", "deal", "query")).alias("routes"))
-    texts = whole.join(routes, whole["doc_id"] == routes["id"]).select("id", "text", "routes")
+    routes = stored(roles.groupBy("id").agg(F.collect_list(F.struct("g", "deal", "query")).alias("routes")), "routes")
+    # texts without a route stay where they are, but for those that share a slot with one
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(slots))
+    live = routes.select(slot("id").alias("slot")).distinct()
+    near = whole.withColumn("slot", slot("doc_id")).join(F.broadcast(live), "slot", "left_semi")  # at most `slots` rows
+    texts = near.join(routes, near["doc_id"] == routes["id"]).select("id", "text", "routes")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["g", "deal", "query", "id", "tokens"]
