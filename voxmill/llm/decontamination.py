@@ -58,6 +58,7 @@ class Items:
         self.weight, self.radius = np.log1p(documents / np.maximum(df, 1)), radius
         self.weights = [self.weight[np.searchsorted(self.known, s)] for s in self.sets]
         self.other = [float(w.mean()) for w in self.weights]
+        self.total = np.array([w.sum() for w in self.weights])
         self.plain = float(self.weight.mean()) if len(self.weight) else 1.0
         prints = np.array([int(simhash(((bits_of(s) * 2.0 - 1) * w[:, None]).sum(0, keepdims=True))[0]) for s, w in zip(self.sets, self.weights, strict=True)], np.uint64)
         near = [v for v in range(256) if v.bit_count() <= radius // BLOCKS]
@@ -75,7 +76,7 @@ class Items:
     def candidates(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, distance) of every pair of this size within the radius, each once."""
         own, table = self.by_size[size]
-        pairs = []
+        keys, n = [], len(own)
         for b in range(BLOCKS):
             values = prints.view(np.uint8).reshape(-1, BLOCKS)[:, b].astype(np.int64)
             items, at = table[b]
@@ -83,10 +84,10 @@ class Items:
             window = np.repeat(np.arange(len(prints)), lens)
             within = np.arange(len(window)) - np.repeat(np.cumsum(lens) - lens, lens)
             item = items[at[values][window] + within]
-            d = np.bitwise_count(prints[window] ^ own[item])
-            ok = d <= self.radius
-            pairs.append(np.stack([window[ok], item[ok], d[ok].astype(np.int64)]))
-        return tuple(np.unique(np.concatenate(pairs, axis=1), axis=1))
+            ok = np.bitwise_count(prints[window] ^ own[item]) <= self.radius
+            keys.append(window[ok] * n + item[ok])
+        window, item = np.divmod(np.unique(np.concatenate(keys)), n)
+        return window, item, np.bitwise_count(prints[window] ^ own[item])
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         """Weighted Jaccard of a window's distinct shingles and an item's; a shingle of no item weighs as the item's mean."""
@@ -131,12 +132,16 @@ def matches(text: str, items: Items, threshold: float) -> list[tuple[int, float,
             h = grams[k][starts[0] : starts[-1] + n]
             at = np.searchsorted(items.known, h)
             at[at == len(items.known)] = 0
-            weight = np.where(items.known[at] == h, items.weight[at], items.plain)
+            known = items.known[at] == h
+            weight = np.where(known, items.weight[at], items.plain)
+            held = np.append(0.0, np.cumsum(np.where(known, weight, 0.0)))
             votes = np.zeros((len(h) + 1, BITS))
             np.cumsum((bits_of(h) * 2.0 - 1) * weight[:, None], axis=0, out=votes[1:])
             local = starts - starts[0]
             window, item, distance = items.candidates(size, simhash(votes[local + n] - votes[local]))
-            for x, i, d in zip(window, item, distance, strict=True):
+            # what a window shares with an item weighs no more than all it holds of the benchmark
+            able = (held[local + n] - held[local])[window] >= threshold * items.total[item] - 1e-6
+            for x, i, d in zip(window[able], item[able], distance[able], strict=True):
                 s = int(starts[x])
                 value = items.similarity(np.unique(grams[k][s : s + n]), int(i))
                 if value >= threshold and (int(i) not in best or (-value, s) < best[int(i)][:2]):
