@@ -8,8 +8,8 @@ earliest line of a key is the keeper of the others, once their edit distance is
 key of text alone, the line that is that text meets those that are one longer. So no key lists pairs.
 
 An exact filter goes first: one edit leaves a line's first or last half as it was. Lines emit a key for either
-half under each length that a partner may have (six keys), and only those whose key some other
-line of such a length has emit variants, and those only for places in the other half.
+half as the shorter (or equal) and as the longer of two, four keys in all, and only those whose key some
+other line of such a length has emit variants, and those only for places in the other half.
 
 Lines of fewer than ``min_chars`` code points are compared for equality alone, as one edit of a short
 word is another word. Lines are compared without the white space at their ends; empty ones always stay.
@@ -31,8 +31,8 @@ from voxmill.llm.common import SPACE, pick, small_batches, stored, text_or_empty
 
 RESULT = "doc_id long, n_lines long, n_repeated long, n_near long, kept_sha256 string, kept_text string"
 
-# Kinds of half keys: lines of the same length; the shorter and the longer of two.
-SAME, SHORT, LONG = 0, 1, 2
+# A line's part in a half key: of the lesser length of two (or of equal ones), or one longer.
+SHORT, LONG = 0, 1
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -46,37 +46,41 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _half_keys(line: Column, size: Column) -> Column:
-    """(kind, side, half) of a line: side 0 shares the first half, side 1 the last."""
+    """(part, side, half) of a line: side 0 shares the first half, side 1 the last."""
 
-    def both(kind: int, shorter: Column) -> list[Column]:
+    def both(part: int, shorter: Column) -> list[Column]:
         p = F.floor(shorter / 2).cast("int")
         m = (shorter - p).cast("int")
-        named = F.lit(int(kind != SAME))
         return [
-            F.struct(F.lit(kind).alias("kind"), F.lit(0).alias("side"), F.xxhash64(named, F.lit(0), shorter, F.substring(line, F.lit(1), p)).alias("half")),
-            F.struct(F.lit(kind).alias("kind"), F.lit(1).alias("side"), F.xxhash64(named, F.lit(1), shorter, F.substring(line, size - m + 1, m)).alias("half")),
+            F.struct(F.lit(part).alias("part"), F.lit(0).alias("side"), F.xxhash64(F.lit(0), shorter, F.substring(line, F.lit(1), p)).alias("half")),
+            F.struct(F.lit(part).alias("part"), F.lit(1).alias("side"), F.xxhash64(F.lit(1), shorter, F.substring(line, size - m + 1, m)).alias("half")),
         ]
 
-    return F.array(*both(SAME, size), *both(SHORT, size), *both(LONG, size - 1))
+    return F.array(*both(SHORT, size), *both(LONG, size - 1))
 
 
 def _variants(line: Column, size: Column, key: Column) -> Column:
-    """Hashed variants that a line emits under one of its half keys."""
-    shorter = size - F.when(key["kind"] == LONG, 1).otherwise(0)
-    p = F.floor(shorter / 2).cast("int")
-    places = F.when(key["side"] == 0, F.sequence(p + 1, size)).otherwise(F.sequence(F.lit(1), p + F.when(key["kind"] == LONG, 1).otherwise(0)))
+    """(how, v): the variants of a line under one of its half keys, ``swap``, ``whole`` or ``cut``."""
+    longer = key["part"] == LONG
+    p = F.floor((size - key["part"]) / 2).cast("int")
+    places = F.when(key["side"] == 0, F.sequence(p + 1, size)).otherwise(F.sequence(F.lit(1), p + key["part"]))
     cut = lambda i: F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, size))
-    swap = F.transform(places, lambda i: F.xxhash64(key["half"], i, cut(i)))
-    gap = F.transform(places, lambda i: F.xxhash64(key["half"], cut(i)))
-    return F.when(key["kind"] == SAME, swap).when(key["kind"] == LONG, F.array_distinct(gap)).otherwise(F.array(F.xxhash64(key["half"], line)))
+    named = lambda how, v: F.struct(F.lit(how).alias("how"), v.alias("v"))
+    none = F.array().cast("array<struct<how:string,v:bigint>>")
+    swaps = F.when(~longer & key["swap"], F.transform(places, lambda i: named("swap", F.xxhash64(key["half"], i, cut(i))))).otherwise(none)
+    whole = F.when(~longer & key["gap"], F.array(named("whole", F.xxhash64(key["half"], line)))).otherwise(none)
+    cuts = F.when(longer & key["gap"], F.array_distinct(F.transform(places, lambda i: named("cut", F.xxhash64(key["half"], cut(i)))))).otherwise(none)
+    return F.concat(swaps, whole, cuts)
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame, min_chars: int, slots: int) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within one edit."""
     keys = distinct.where(F.size("keys") > 0).select("h1", F.explode("keys").alias("k")).select("h1", "k.*")
-    met = keys.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b"), F.bit_or(F.element_at(F.array(F.lit(1), F.lit(2), F.lit(4)), F.col("kind") + 1)).alias("kinds"))
-    met = met.where(f"a <> b AND (kinds = {1 << SAME} OR kinds = {1 << SHORT | 1 << LONG})").select("half")
-    live = stored(keys.join(met, "half", "left_semi").groupBy("h1").agg(F.collect_list(F.struct("kind", "side", "half")).alias("live")), "live")
+    short = F.when(F.col("part") == SHORT, F.col("h1"))
+    met = keys.groupBy("half").agg(F.min(short).alias("a"), F.max(short).alias("b"), F.max("part").alias("longest"))
+    met = met.select("half", (F.col("a") != F.col("b")).alias("swap"), (F.col("longest") == LONG).alias("gap")).where("swap OR (gap AND swap IS NOT NULL)")
+    live = keys.join(met, "half").groupBy("h1").agg(F.collect_list(F.struct("part", "side", "half", "swap", "gap")).alias("live"))
+    live = stored(live, "live")
     slot = F.pmod(F.xxhash64("h1"), F.lit(slots))
     wanted = live.select(slot.alias("slot")).distinct()
     texts = _lines(docs).select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "line").withColumn("slot", slot)
@@ -85,11 +89,11 @@ def near_lines(docs: DataFrame, distinct: DataFrame, min_chars: int, slots: int)
     kept = stored(texts.join(live, "h1").join(distinct.select("h1", "h2", "first"), ["h1", "h2"]).select("h1", "h2", "first", "line", "live"), "halves")
     size = F.char_length("line")
     one = kept.select("first", "line", F.explode("live").alias("k"))
-    rows = stored(one.select("first", F.col("k.kind").alias("kind"), F.explode(_variants(F.col("line"), size, F.col("k"))).alias("v")), "variants")
-    swaps = rows.where(f"kind = {SAME}").select("first", "v")
+    rows = stored(one.select("first", F.explode(_variants(F.col("line"), size, F.col("k"))).alias("x")).select("first", "x.*"), "variants")
+    swaps = rows.where("how = 'swap'").select("first", "v")
     least = swaps.groupBy("v").agg(F.min("first").alias("keeper"), F.max("first").alias("last")).where("keeper < last").select("v", "keeper")
     by_swap = swaps.join(least, "v").where("keeper < first").select("first", "keeper")
-    gaps = rows.where(f"kind = {LONG}").select("v", F.col("first").alias("longer")).join(rows.where(f"kind = {SHORT}").select("v", F.col("first").alias("shorter")), "v")
+    gaps = rows.where("how = 'cut'").select("v", F.col("first").alias("longer")).join(rows.where("how = 'whole'").select("v", F.col("first").alias("shorter")), "v")
     by_gap = gaps.select(F.greatest("longer", "shorter").alias("first"), F.least("longer", "shorter").alias("keeper"))
     found = by_swap.unionByName(by_gap).groupBy("first").agg(F.min("keeper").alias("keeper"))
     ends = kept.select("first", "h1", "h2", "line")
@@ -103,10 +107,10 @@ def lost_lines(docs: DataFrame, min_chars: int = 16, slots: int = 1 << 18) -> Da
     keys = F.when(size >= min_chars, _half_keys(F.col("line"), size)).otherwise(F.array())
     hashed = _lines(docs).select("doc_id", "th", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), keys.alias("keys"))
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "n", "th")
-    distinct = stored(hashed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("keys").alias("keys")), "distinct")
+    distinct = stored(hashed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.first("keys").alias("keys")), "distinct")
     near = stored(near_lines(docs, distinct, min_chars, slots), "near").withColumn("near", F.lit(True))
     marked = stored(
-        distinct.join(near, ["h1", "h2"], "left").where("near OR first <> last").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")),
+        distinct.join(near, ["h1", "h2"], "left").where("near OR times > 1").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")),
         "marked",
     )
     gone = hashed.select("doc_id", "th", "n", "h1", "h2", place.alias("place")).join(marked, ["h1", "h2"]).where("near OR place <> first")
