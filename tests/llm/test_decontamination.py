@@ -107,3 +107,39 @@ def test_word_hashes_follow_the_words():
     g, begins = sh.gram_batch(h, starts, 3)
     for i, t in enumerate(texts):
         assert np.array_equal(g[begins[i] : begins[i + 1]], sh.grams(h[starts[i] : starts[i + 1]], 3))
+
+
+def test_copies_of_an_item_in_a_third_of_the_documents_are_found():
+    rng = np.random.default_rng(5)
+    word = lambda: f"w{rng.integers(10**6)}"
+    texts = [[word() for _ in range(39)] for _ in range(200)]
+    items = de.Items([(i, " ".join(t)) for i, t in enumerate(texts)], 5)
+    df = np.ones(len(items.known), int)
+    common = range(20)
+    for i in common:
+        df[np.searchsorted(items.known, items.sets[i])] = 160_000 // 3
+    items.weigh(df, 160_000, de.RADIUS)
+    pairs = 0
+    for i in [*common, *range(100, 120)]:
+        for changed in range(4):
+            for front in (False, True):
+                copy = list(texts[i])
+                for j in range(changed):
+                    copy[j if front else -1 - j] = word()
+                g = sh.grams(de._words(text := " ".join([word() for _ in range(20)] + copy + [word() for _ in range(20)]))[0], 5)
+                best = max(items.similarity(np.unique(g[s : s + 35]), i) for s in range(len(g) - 34))
+                got = {m[0]: m[1] for m in de.matches(text, items, 0.8)}
+                assert best >= 0.8 and abs(got.get(i, 0) - best) < 1e-9, (i, changed, front)
+                pairs += 1
+    assert pairs == 320
+
+
+def test_a_window_votes_once_per_distinct_shingle():
+    rng = np.random.default_rng(6)
+    for size in (1, 3, 50, 1000):
+        h = rng.integers(0, size, 200).astype(np.uint64)
+        rows = rng.integers(-1000, 1000, (size, 7)).astype(float)[h.astype(int)]
+        for n in (1, 2, 17, 200):
+            starts = np.arange(0, 200 - n + 1, 2)
+            want = [sum({int(x): rows[s + k] for k, x in enumerate(h[s : s + n])}.values()) for s in starts]
+            assert np.array_equal(de.window_sums(rows, h, n, starts), np.array(want))

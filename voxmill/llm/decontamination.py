@@ -2,8 +2,10 @@
 
 Every text is hashed into word shingles. A window without any shingle of the benchmark has similarity 0 to
 all items, so only texts with such a shingle go on, whole; their shingle counts over all documents
-give the weights. In those texts, each window of an item's size that holds a known shingle gets a 64-bit
-SimHash. The items' fingerprints are indexed by blocks, each under all values within radius // blocks
+give the weights. In those texts, each window of an item's size that holds enough of the benchmark to reach
+the threshold gets a 64-bit SimHash. A distinct shingle votes with the root of its weight, so that the angle of
+two vote sums follows from their weighted Jaccard similarity alone (cosine 2 s / (1 + s) at least); a shingle of no item
+votes as the known ones of its window do on average. The items' fingerprints are indexed by blocks, each under all values within radius // blocks
 flips, so that any fingerprint within the radius agrees in one block at least. Candidates within the
 radius are then checked by weighted Jaccard similarity of their shingles.
 
@@ -26,6 +28,8 @@ from voxmill.llm.common import pick, small_batches, stored, text_or_empty
 BITS, BLOCKS = 64, 8
 RADIUS = 22
 RUN = 1 << 15
+# votes are whole numbers, so that sums are exact in any order and ties fall alike
+VOTE = 1024
 HITS = "doc_id long, item_id long, similarity double, window_start int, window_words int, distance int"
 
 
@@ -38,6 +42,29 @@ def simhash(votes: np.ndarray) -> np.ndarray:
     return np.packbits(votes > 0, axis=1).reshape(-1, 8).copy().view(np.uint64).ravel()
 
 
+def votes_of(weight: np.ndarray) -> np.ndarray:
+    return np.round(np.sqrt(weight) * VOTE)
+
+
+def window_sums(rows: np.ndarray, h: np.ndarray, n: int, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``rows`` over the distinct hashes in h[s : s + n] for each start; exact for whole numbers."""
+    sums = np.zeros((len(h) + 1, rows.shape[1]))
+    np.cumsum(rows, axis=0, out=sums[1:])
+    out = sums[starts + n] - sums[starts]
+    order = np.argsort(h, kind="stable")
+    again = h[order][1:] == h[order][:-1]
+    at, before = order[1:][again], order[:-1][again]
+    near = at - before < n
+    at, before = at[near], before[near]
+    if len(at):
+        # a repeat counts no more in the windows that hold the one before it as well
+        sums[:] = 0
+        np.add.at(sums, np.maximum(at - n + 1, 0), rows[at])
+        np.add.at(sums, before + 1, -rows[at])
+        out -= np.cumsum(sums, axis=0, out=sums)[starts]
+    return out
+
+
 class Items:
     """A block of benchmark items: shingles by item, and, per window size, the multi-index of fingerprints."""
 
@@ -59,8 +86,7 @@ class Items:
         self.weights = [self.weight[np.searchsorted(self.known, s)] for s in self.sets]
         self.other = [float(w.mean()) for w in self.weights]
         self.total = np.array([w.sum() for w in self.weights])
-        self.plain = float(self.weight.mean()) if len(self.weight) else 1.0
-        prints = np.array([int(simhash(((bits_of(s) * 2.0 - 1) * w[:, None]).sum(0, keepdims=True))[0]) for s, w in zip(self.sets, self.weights, strict=True)], np.uint64)
+        prints = np.array([int(simhash(((bits_of(s) * 2.0 - 1) * votes_of(w)[:, None]).sum(0, keepdims=True))[0]) for s, w in zip(self.sets, self.weights, strict=True)], np.uint64)
         near = [v for v in range(256) if v.bit_count() <= radius // BLOCKS]
         self.by_size: dict[int, tuple] = {}
         for size in sorted(set(self.sizes)):
@@ -72,6 +98,7 @@ class Items:
                 order = np.argsort(values, kind="stable")
                 table.append((np.repeat(own, len(near))[order], np.searchsorted(values[order], np.arange(257))))
             self.by_size[size] = (prints, table)
+        self.least = {size: min(t for t, n in zip(self.total, self.sizes, strict=True) if n == size) for size in self.by_size}
 
     def candidates(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, distance) of every pair of this size within the radius, each once."""
@@ -133,14 +160,23 @@ def matches(text: str, items: Items, threshold: float) -> list[tuple[int, float,
             at = np.searchsorted(items.known, h)
             at[at == len(items.known)] = 0
             known = items.known[at] == h
-            weight = np.where(known, items.weight[at], items.plain)
-            held = np.append(0.0, np.cumsum(np.where(known, weight, 0.0)))
-            votes = np.zeros((len(h) + 1, BITS))
-            np.cumsum((bits_of(h) * 2.0 - 1) * weight[:, None], axis=0, out=votes[1:])
-            local = starts - starts[0]
-            window, item, distance = items.candidates(size, simhash(votes[local + n] - votes[local]))
+            weight = np.where(known, items.weight[at], 0.0)
             # what a window shares with an item weighs no more than all it holds of the benchmark
-            able = (held[local + n] - held[local])[window] >= threshold * items.total[item] - 1e-6
+            held = np.append(0.0, np.cumsum(weight))
+            held = held[starts - starts[0] + n] - held[starts - starts[0]]
+            enough = held >= threshold * items.least[size] - 1e-6
+            starts, held, first = starts[enough], held[enough], starts[0]
+            if not len(starts):
+                continue
+            local = starts - first
+            bits = bits_of(h) * 2.0 - 1
+            votes = window_sums(bits * votes_of(weight)[:, None], h, n, local)
+            if not known.all():
+                counts = np.append(0, np.cumsum(known))
+                mean = held / np.maximum(counts[local + n] - counts[local], 1)
+                votes += window_sums(bits * ~known[:, None], h, n, local) * votes_of(mean)[:, None]
+            window, item, distance = items.candidates(size, simhash(votes))
+            able = held[window] >= threshold * items.total[item] - 1e-6
             for x, i, d in zip(window[able], item[able], distance[able], strict=True):
                 s = int(starts[x])
                 value = items.similarity(np.unique(grams[k][s : s + n]), int(i))
