@@ -143,3 +143,12 @@ def test_a_window_votes_once_per_distinct_shingle():
             starts = np.arange(0, 200 - n + 1, 2)
             want = [sum({int(x): rows[s + k] for k, x in enumerate(h[s : s + n])}.values()) for s in starts]
             assert np.array_equal(de.window_sums(rows, h, n, starts), np.array(want))
+
+
+def test_clean_rows_stay_whatever_their_ids(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, item), (None, "clean a"), (None, None), (1, "clean b"), (1, f"x {item}"), (1, "clean b")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, _row int")
+    kept = de.clean_documents(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("1", "clean b"), ("1", "clean b"), ("None", "None"), ("None", "clean a")]

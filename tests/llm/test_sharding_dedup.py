@@ -91,3 +91,12 @@ def test_dedup_edges(spark):
     kept = exact_dedup.kept_documents(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted({min(g)[2] for g in groups.values()})
+
+
+def test_rows_that_share_an_id_are_kept_by_text(spark):
+    rows = [(None, "a"), (None, "b"), (None, "c c"), (None, "c c"), (1, "a"), (2, "x"), (2, "y"), (3, "x "), (4, "z"), (4, "z"), (5, None), (5, ""), (6, "u"), (6, "v")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, _row int")
+    kept = exact_dedup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    want = [(None, "b"), (None, "c c"), (1, "a"), (2, "y"), (3, "x "), (4, "z"), (5, ""), (6, "u"), (6, "v")]
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted((str(i), t) for i, t in want)

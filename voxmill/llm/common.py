@@ -57,6 +57,17 @@ def pick(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[f"`{n}`"] for n in names])
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, stored once, with a number of its own for each row, and the name of that column.
+
+    Ids may be null or repeat; a decision about rows is joined back by this number.
+    """
+    name = "_row"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def ranges_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm import shingles as sh
-from voxmill.llm.common import pick, small_batches, stored, text_or_empty
+from voxmill.llm.common import numbered, pick, small_batches, stored, text_or_empty
 
 BITS, BLOCKS = 64, 8
 RADIUS = 22
@@ -251,6 +251,8 @@ def _hits(whole: DataFrame, items: Items, n_docs: int, threshold: float, radius:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The documents without a hit, with their own columns."""
-    gone = stored(contaminated(docs, benchmark, **how).select(F.col("doc_id").alias("_gone")).distinct(), "leaks")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows without a hit, with their own columns; rows are told apart by number, whatever their ids."""
+    rows, number = numbered(docs)
+    texts = rows.select(rows[number].alias("doc_id"), rows["`text`"])
+    gone = stored(contaminated(texts, benchmark, **how).select(F.col("doc_id").alias(number)).distinct(), "leaks")
+    return rows.join(gone, number, "left_anti").select(*[rows[f"`{c}`"] for c in docs.columns])

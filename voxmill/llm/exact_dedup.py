@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import pick, stored, text_or_empty, without_space
+from voxmill.llm.common import numbered, pick, stored, text_or_empty, without_space
 
 PREFIX = 64
 
@@ -43,29 +43,37 @@ def surviving_slots(docs: DataFrame, slots: int = 1 << 18) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame, digests: bool = False, slots: int = 1 << 18) -> DataFrame:
-    """doc_id, keep_id, group_size, kept (and text_sha256) for every row of docs(doc_id, text).
-
-    Texts are equal when they agree once white space is deleted; null counts as empty. Of equal texts
-    the row with the most code points stays, then the smallest doc_id (a null id comes last). digests:
-    also the SHA-256 of each normalised text, which single texts otherwise go without. Rows repeated
-    with the same id are one document in several rows: one of them is kept.
-    """
+def _hashed(docs: DataFrame, digests: bool, slots: int, *more: str) -> DataFrame:
+    """doc_id, points, live, text_sha256 and the columns ``more`` of every row; the digest of live rows, or of all."""
     normal = without_space(text_or_empty())
     live = surviving_slots(docs, slots)
     sha = F.sha2(F.col("normal").cast("binary"), 256)
     hashed = (
-        pick(docs, "doc_id", "text")
-        .select("doc_id", F.char_length(text_or_empty()).alias("points"), normal.alias("normal"))
+        pick(docs, "doc_id", "text", *more)
+        .select("doc_id", F.char_length(text_or_empty()).alias("points"), normal.alias("normal"), *more)
         .withColumn("slot", _slot(F.octet_length("normal"), F.xxhash64(F.substring("normal", 1, PREFIX)), slots))
         .join(F.broadcast(live.withColumn("live", F.lit(True))), "slot", "left")  # at most `slots` rows
-        .select("doc_id", "points", F.col("live").isNotNull().alias("live"), (sha if digests else F.when(F.col("live"), sha)).alias("text_sha256"))
+        .select("doc_id", "points", F.col("live").isNotNull().alias("live"), (sha if digests else F.when(F.col("live"), sha)).alias("text_sha256"), *more)
     )
-    hashed = stored(hashed, "hashed")
-    order = F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus_id"))
+    return stored(hashed, "hashed")
+
+
+def _order(*more: Column) -> Column:
+    return F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus_id"), *more)
+
+
+def exact_dedup(docs: DataFrame, digests: bool = False, slots: int = 1 << 18) -> DataFrame:
+    """doc_id, keep_id, group_size, kept (and text_sha256) for every row of docs(doc_id, text).
+
+    Texts are equal when they agree once white space is deleted; null counts as empty. Of equal texts
+    the row with the most code points stays, then the smallest doc_id (a null id comes last). digests:
+    also the SHA-256 of each normalised text, which single texts otherwise go without. Here ``kept`` tells
+    of the id: all rows of a group with the keeper's id have it. Of rows, kept_documents() keeps one a group.
+    """
+    hashed = _hashed(docs, digests, slots)
     # stored, so that the join below is of plain rows and adaptive execution can split a hot group
     groups = stored(
-        hashed.where("live").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(order).alias("best"))
+        hashed.where("live").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(_order()).alias("best"))
         .where("group_size > 1")
         .select("text_sha256", "group_size", (-F.col("best.minus_id")).alias("keep_id")),
         "groups",
@@ -82,6 +90,17 @@ def exact_dedup(docs: DataFrame, digests: bool = False, slots: int = 1 << 18) ->
 
 
 def kept_documents(docs: DataFrame, slots: int = 1 << 18) -> DataFrame:
-    """The documents that stay, with their own columns."""
-    gone = exact_dedup(docs, slots=slots).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """One row of each group of equal texts, with its own columns: the keeper of exact_dedup(), or one of
+    several rows with its id. Rows are told apart by number, so null and repeated ids stay where their texts differ.
+    """
+    rows, number = numbered(docs)
+    hashed = _hashed(rows, False, slots, number).where("live")
+    # stored, so that the join below is of plain rows and adaptive execution can split a hot group
+    groups = stored(
+        hashed.groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(_order((-F.col(number)).alias("minus_row"))).alias("best"))
+        .where("group_size > 1")
+        .select("text_sha256", (-F.col("best.minus_row")).alias("keep_row")),
+        "groups",
+    )
+    gone = hashed.join(groups, "text_sha256").where(F.col(number) != F.col("keep_row")).select(number)
+    return rows.join(gone, number, "left_anti").select(*[rows[f"`{c}`"] for c in docs.columns])
