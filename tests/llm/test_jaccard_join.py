@@ -74,7 +74,7 @@ def test_families_around_the_threshold_in_small_groups(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n string")
     want = brute(rows, 4, 85)
     assert len({c for _, c in want.values()}) < len(rows)
-    assert got(jj.jaccard_components(docs, k=4, percent=85, group_size=7, task_queries=5, slots=1 << 12)) == want
+    assert got(jj.jaccard_components(docs, k=4, percent=85, bundle=4, group_size=7, task_queries=5, slots=1 << 12)) == want
 
 
 def test_edges(spark):
@@ -83,7 +83,34 @@ def test_edges(spark):
     out = sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in jj.jaccard_components(docs, k=4, percent=85).collect()), key=str)
     assert out == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 1, 6), (9, 1, 6), (9, 1, 6), (0, 1, None), (0, 1, None)], key=str)
     assert jj.jaccard_components(docs.limit(0)).count() == 0
-    assert sorted(str(r.doc_id) for r in jj.one_of_each(docs).collect()) == sorted(["1", "2", "3", "4", "6", "None", "None"])
+    assert sorted(str(r.doc_id) for r in jj.one_of_each(docs).collect()) == sorted(["1", "2", "3", "4", "6"])
+
+
+def test_rows_are_told_apart_whatever_their_ids(spark):
+    base, other, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(6, base), (7, base), (7, other), (None, third), (None, other + " x"), (None, "alone here"), (8, third), (9, None), (9, None)]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, component_id string, size int")
+    kept = jj.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(6, base), (7, other), (8, third), (None, "alone here"), (9, None), (9, None)], key=str)
+
+
+def test_a_large_family_is_joined_before_groups_are_opened(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(base, i % 3, rng)) for i in range(400)]
+    whole = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = jj.prefixes(whole, 4, 85, jj.gram_counts(whole, 4, 1 << 12))
+    shared = jj.shared_prefixes(sets)
+    members, pivots = jj.grouped(shared, 85, 16, 50)
+    inside = members.select("id", "own").unionByName(pivots).distinct().selectExpr("id", "own AS g", "true AS query", "true AS member")
+    parts = components(jj.verified(whole, inside, 4, 85))
+    sizes = sorted((r["count"] for r in parts.groupBy("component").count().collect()), reverse=True)
+    assert sizes[0] > 350
+    # what the family's own members would open without contraction, and what is left to open
+    alone = jj.opened_groups(shared, members, parts.limit(0), 85).count()
+    assert jj.opened_groups(shared, members, parts, 85).count() < alone / 5
+    assert got(jj.jaccard_components(whole, k=4, percent=85, bundle=16, group_size=50, task_queries=60)) == brute(rows, 4, 85)
 
 
 def test_a_long_chain_of_links(spark):

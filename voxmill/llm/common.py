@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,11 +16,14 @@ SPACE = " \t\n\x0b\x0c\r"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests on one machine) is one made.
+    Only where the session has none and runs in one process (as in tests) is one made; on a cluster that is an error.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='voxmill-')}")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='voxmill-')}")
     return sc.getCheckpointDir()
 
 
@@ -72,9 +76,15 @@ def ranges_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of whole texts stay small: at most ``rows`` rows each, for the session's Python stages."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
+    """Arrow batches of whole texts stay small: about ``size`` bytes and at most ``rows`` rows each.
+
+    The bounds hold for the session's Python stages, unless it has bounds of its own.
+    """
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, str(most))
 
 
 def boosted(train: DataFrame, rounds: int = 20, depth: int = 3):
