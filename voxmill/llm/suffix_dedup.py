@@ -3,20 +3,23 @@
 A suffix matters here for its first ``length`` bytes only, its window. Windows are dealt to buckets by an anchor:
 the least k-byte string in them by hash (then the leftmost), so equal windows have equal anchors at
 equal offsets. An anchor's run of windows is one row. Anchors that occur once hold no repeated window. Rows whose
-whole run of bytes agrees are one class; a class of two or more is repeated throughout, and one of its
-rows stands for it. Only classes that share an anchor but differ send their bytes to a bucket.
+whole runs agree (by two hashes of 64 bits over all bytes) are one class. Of each class the first row and, if it has more than
+one, the last send their bytes to a bucket.
 
 In a bucket the suffixes of each anchor and offset are sorted by mergesort. Two suffixes are compared by
 their longest common extension, which a binary search over prefix polynomial hashes finds in log2(length)
-steps, and then by one byte. Neighbours that agree over the whole window are verified byte by byte.
+steps, and then by one byte. Neighbours that agree over the whole window are verified byte by byte. What the sort
+finds of a class holds for its other rows; a class of two rows or more is repeated once its first and last are found equal.
 
-A bucket holds about ``bucket`` runs. An anchor with more classes than that has its windows
-hashed to rows of their own instead, which are counted with partial aggregation: nothing unbounded meets in a task.
+A bucket holds about ``bucket`` runs. Where an anchor has more classes than that, its windows are dealt by all
+their bytes instead: they become runs of one window, which go the same way by classes, so nothing unbounded
+meets in a task.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,9 @@ from voxmill.llm import shingles as sh
 from voxmill.llm.common import pick, small_batches, stored, text_or_empty
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-ANCHORS = "rk long, lo int, n int, rel int, h long, f long"
+ANCHORS = "rk long, lo int, n int, rel int, h long, f long, g long"
+#: Bytes of runs in a batch that a task sends on.
+SEND = 4 << 20
 _SECOND = np.random.Generator(np.random.PCG64(7919)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _FIRST = np.random.Generator(np.random.PCG64(104729)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LOW = np.uint64((1 << 32) - 1)
@@ -45,10 +50,11 @@ def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     """Per run of windows with the same anchor: its text, first window's start, number of windows, the anchor's
-    place after that start, the anchor's hash, and a hash of all bytes of the run. Places are in ``data``."""
+    place after that start, the anchor's hash, and two hashes of all bytes of the run. Places are in ``data``."""
     none = np.zeros(0, np.int64)
+    nothing = (*[none] * 4, *[none.view(np.uint64)] * 3)
     if len(data) < length:
-        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     first = sh.prefix_hashes(data, _FIRST)
     at = np.arange(len(data) - k + 1)
     h = sh.mixed(sh.span_hashes(first, at, at + k))
@@ -56,13 +62,15 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(anchor)]
     inside = np.flatnonzero(np.arange(len(anchor)) + length <= offsets[1:][text])
     if not len(inside):
-        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     a = anchor[inside]
     new = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
     lo, n = inside[new], np.diff(np.append(new, len(inside)))
     rel = a[new] - lo
-    f = sh.span_hashes(sh.prefix_hashes(data, _SECOND), lo, lo + n - 1 + length)
-    return text[lo], lo, n, rel, h[a[new]], sh.mixed(f + (n * 1024 + rel).astype(np.uint64), 3)
+    shape, end = (n * 1024 + rel).astype(np.uint64), lo + n - 1 + length
+    f = sh.span_hashes(sh.prefix_hashes(data, _SECOND), lo, end)
+    g = sh.span_hashes(first, lo, end)
+    return text[lo], lo, n, rel, h[a[new]], sh.mixed(f + shape, 3), sh.mixed(g, 4)
 
 
 def _key() -> Column:
@@ -75,8 +83,8 @@ def anchors(whole: DataFrame, length: int, k: int) -> DataFrame:
         for b in batches:
             rk = b.column("rk").to_numpy()
             for first, data, offsets in sh.chunks(b.column("text")):
-                text, lo, n, rel, h, f = runs_of(data, offsets, length, k)
-                cols = [pa.array(rk[first + text])] + [pa.array(x.astype(np.int32)) for x in (lo - offsets[text], n, rel)] + [pa.array(x.view(np.int64)) for x in (h, f)]
+                text, lo, n, rel, *hashes = runs_of(data, offsets, length, k)
+                cols = [pa.array(rk[first + text])] + [pa.array(x.astype(np.int32)) for x in (lo - offsets[text], n, rel)] + [pa.array(x.view(np.int64)) for x in hashes]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return stored(whole.select("rk", "text").mapInArrow(run, ANCHORS), "anchors")
@@ -175,63 +183,98 @@ def _spans(flags: np.ndarray, lo: int, length: int) -> list[tuple[int, int]]:
     return [(lo + int(a), lo + int(b) - 1 + length) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, slots: int) -> DataFrame:
-    """(rk, s, e): byte spans of texts that repeated windows cover, in pieces."""
-    rows = anchors(whole, length, k)
-    often = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("f").alias("a"), F.max("f").alias("b")).where("c > 1").select("h", (F.col("a") != F.col("b")).alias("mixed"))
-    shared = stored(rows.join(often, "h"), "shared")
-    end = (F.col("lo") + F.col("n") - 1 + length).alias("e")
-    mixed = shared.where("mixed")
-    classes = stored(mixed.groupBy("h", "f").agg(F.count("*").alias("c"), F.min(F.struct("rk", "lo", "n", "rel")).alias("at")), "classes")
-    whole_runs = shared.where("NOT mixed").select("rk", F.col("lo").alias("s"), end)
-    copies = mixed.join(classes.where("c > 1").select("h", "f"), ["h", "f"], "left_semi").select("rk", F.col("lo").alias("s"), end)
-    crowd = classes.groupBy("h").agg((F.count("*") > bucket).alias("hot"))
-    n = classes.count()
-    buckets = max(1, -(-n // bucket))
-    wanted = classes.join(crowd, "h").select("at.*", "h", (F.col("c") == 1).alias("single"), "hot")
-    wanted = wanted.groupBy("rk").agg(F.collect_list(F.struct("lo", "n", "rel", "h", "single", "hot")).alias("runs"))
-    wanted = stored(wanted, "wanted")
+def _sent(texts: DataFrame, columns: dict[str, pa.DataType], rows_of) -> DataFrame:
+    """Rows of ``columns`` that ``rows_of(rk, raw, runs)`` makes of each text, in batches of bounded size."""
+    names, types = list(columns), list(columns.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+        for b in batches:
+            for rk, text, runs in zip(b.column("rk").to_pylist(), b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True):
+                for r in rows_of(rk, text.encode(), runs):
+                    out.append(r)
+                    held += 100 + (len(r[-1]) if type(r[-1]) is bytes else 0)
+                    if held > SEND:
+                        yield batch()
+                        out, held = [], 0
+        yield batch()
+
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary"}
+    return texts.mapInArrow(run, ", ".join(f"{n} {kinds[t]}" for n, t in columns.items()))
+
+
+def _with_runs(whole: DataFrame, wanted: DataFrame, slots: int) -> DataFrame:
+    """(rk, text, runs) of the texts that have rows in wanted(rk, ...)."""
+    wanted = stored(wanted.groupBy("rk").agg(F.collect_list(F.struct(*[c for c in wanted.columns if c != "rk"])).alias("runs")), "wanted")
     slot = F.pmod(F.xxhash64("rk"), F.lit(slots))
     live = wanted.select(slot.alias("slot")).distinct()
     texts = whole.select("rk", "text").withColumn("slot", slot).join(F.broadcast(live), "slot", "left_semi")  # at most `slots` rows
-    texts = stored(texts.drop("slot").join(wanted, "rk"), "texts")
+    return texts.drop("slot").join(wanted, "rk")
 
-    def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for rk, text, runs in zip(b.column("rk").to_pylist(), b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True):
-                raw = text.encode()
-                out += [(r["h"] % buckets, rk, r["lo"], r["rel"], r["h"], r["single"], raw[r["lo"] : r["lo"] + r["n"] - 1 + length]) for r in runs if not r["hot"]]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["bucket", "rk", "lo", "rel", "h", "single", "bytes"])
+
+def sorted_runs(whole: DataFrame, classes: DataFrame, length: int, bucket: int, slots: int) -> DataFrame:
+    """(rk, s, e) spans of the single rows of classes(cell, h, f, g, c, first, last) that repeat, and, with rk null, (h, f, g) of the classes of two rows or more that do.
+
+    cell: runs that may hold equal windows have one. first, last: (rk, lo, n, rel).
+    """
+    buckets = max(1, -(-classes.count() // bucket))
+    ends = F.when(F.col("c") > 1, F.array("first", "last")).otherwise(F.array("first"))
+    rows = classes.select("cell", "h", "f", "g", (F.col("c") == 1).alias("single"), F.explode(ends).alias("r")).select("cell", "h", "f", "g", "single", "r.*")
+    columns = {"bucket": pa.int64(), "cell": pa.int64(), "h": pa.int64(), "f": pa.int64(), "g": pa.int64(), "single": pa.bool_(), "rk": pa.int64(), "lo": pa.int32(), "rel": pa.int32(), "bytes": pa.binary()}
+
+    def bring(rk: int, raw: bytes, runs: list) -> Iterator[tuple]:
+        for r in runs:
+            yield r["cell"] % buckets, r["cell"], r["h"], r["f"], r["g"], r["single"], rk, r["lo"], r["rel"], raw[r["lo"] : r["lo"] + r["n"] - 1 + length]
 
     def sort_bucket(group: pa.Table) -> pa.Table:
-        flags = repeated_windows(group.column("bytes").to_pylist(), group.column("h").to_numpy(), group.column("rel").to_numpy().astype(np.int64), length)
-        out = [
-            (rk, *span)
-            for rk, lo, single, f in zip(group.column("rk").to_pylist(), group.column("lo").to_pylist(), group.column("single").to_pylist(), flags, strict=True)
-            if single
-            for span in _spans(f, lo, length)
-        ]
-        return pa.table({"rk": pa.array([r[0] for r in out], pa.int64()), "s": pa.array([r[1] for r in out], pa.int32()), "e": pa.array([r[2] for r in out], pa.int32())})
-
-    def hash_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for rk, text, runs in zip(b.column("rk").to_pylist(), b.column("text").to_pylist(), b.column("runs").to_pylist(), strict=True):
-                raw = text.encode()
-                for r in runs:
-                    if r["hot"]:
-                        out += [(rk, i, r["single"], hashlib.blake2b(raw[i : i + length], digest_size=16).digest()) for i in range(r["lo"], r["lo"] + r["n"])]
-            types = [pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["rk", "s", "single", "w"])
-
-    sorted_ = texts.mapInArrow(bring, "bucket long, rk long, lo int, rel int, h long, single boolean, bytes binary").groupBy("bucket").applyInArrow(sort_bucket, "rk long, s int, e int")
-    out = whole_runs.unionByName(copies).unionByName(sorted_)
-    if crowd.where("hot").limit(1).count():
-        hot = stored(texts.mapInArrow(hash_hot, "rk long, s int, single boolean, w binary"), "hot")
-        twice = hot.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w")
-        out = out.unionByName(hot.where("single").join(twice, "w", "left_semi").select("rk", "s", (F.col("s") + length).alias("e")))
+        flags = repeated_windows(group.column("bytes").to_pylist(), group.column("cell").to_numpy(), group.column("rel").to_numpy().astype(np.int64), length)
+        out = []
+        for rk, lo, single, h, f, g, again in zip(*[group.column(c).to_pylist() for c in ("rk", "lo", "single", "h", "f", "g")], flags, strict=True):
+            if single:
+                out += [(rk, *span, h, f, g) for span in _spans(again, lo, length)]
+            elif again.all():
+                out.append((None, None, None, h, f, g))
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.table({n: pa.array([r[i] for r in out], t) for i, (n, t) in enumerate(zip(("rk", "s", "e", "h", "f", "g"), types, strict=True))})
+
+    return stored(_sent(_with_runs(whole, rows, slots), columns, bring).groupBy("bucket").applyInArrow(sort_bucket, "rk long, s int, e int, h long, f long, g long"), "sorted")
+
+
+def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, slots: int) -> DataFrame:
+    """(rk, s, e): byte spans of texts that repeated windows cover, in pieces."""
+    rows = anchors(whole, length, k)
+    # stored, so that the join is of plain rows and adaptive execution can split a hot anchor
+    often = stored(rows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "often")
+    shared = stored(rows.join(often, "h"), "shared")
+    place, name = F.struct("rk", "lo", "n", "rel"), ["h", "f", "g"]
+    ends = [F.count("*").alias("c"), F.min(place).alias("first"), F.max(place).alias("last")]
+    classes = stored(shared.groupBy(*name).agg(*ends), "classes")
+    hot = stored(classes.groupBy("h").agg(F.count("*").alias("classes")).where(F.col("classes") > bucket).select("h", F.lit(True).alias("hot")), "hot")
+    marked = classes.join(hot, "h", "left")
+    # the rows of one class lie in one cell; where an anchor isn't hot, so do all of its classes
+    cell = F.when(F.col("hot"), F.xxhash64(*name)).otherwise(F.col("h"))
+    found = sorted_runs(whole, marked.where("hot IS NULL OR c > 1").select(cell.alias("cell"), *name, "c", "first", "last"), length, bucket, slots)
+
+    def of(rows: DataFrame, found: DataFrame) -> DataFrame:
+        """The spans that the sort found: of single rows, and of all rows of repeated classes."""
+        repeated = stored(found.where("rk IS NULL").select(*name).distinct(), "repeated")
+        copies = rows.join(repeated, name, "left_semi").select("rk", F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1 + length).alias("e"))
+        return copies.unionByName(found.where("rk IS NOT NULL").select("rk", "s", "e"))
+
+    out = of(shared, found)
+    if hot.limit(1).count():
+        columns = {"rk": pa.int64(), "lo": pa.int32(), "n": pa.int32(), "rel": pa.int32(), "h": pa.int64(), "f": pa.int64(), "g": pa.int64()}
+
+        def windows(rk: int, raw: bytes, runs: list) -> Iterator[tuple]:
+            for r in runs:
+                for i in range(r["lo"], r["lo"] + r["n"]):
+                    yield rk, i, 1, 0, r["h"], *struct.unpack("<qq", hashlib.blake2b(raw[i : i + length], digest_size=16).digest())
+
+        single = stored(_sent(_with_runs(whole, marked.where("hot").select("first.*", "h"), slots), columns, windows), "windows")
+        again = stored(single.groupBy(*name).agg(*ends).where("c > 1"), "classes")
+        found = sorted_runs(whole, again.select(F.xxhash64(*name).alias("cell"), *name, "c", "first", "last"), length, bucket, slots)
+        out = out.unionByName(of(single, found))
     return out
 
 
