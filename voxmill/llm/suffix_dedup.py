@@ -4,12 +4,12 @@ A suffix matters here for its first ``length`` bytes only, its window. Windows a
 the least k-byte string in them by hash (then the leftmost), so equal windows have equal anchors at
 equal offsets. An anchor's run of windows is one row. Anchors that occur once hold no repeated window. Rows whose
 whole runs agree (by two hashes of 64 bits over all bytes) are one class. Of each class the first row and, if it has more than
-one, the last send their bytes to a bucket.
+one, the last send their bytes to a bucket, where the two are verified byte by byte; the first goes on.
 
 In a bucket the suffixes of each anchor and offset are sorted by mergesort. Two suffixes are compared by
 their longest common extension, which a binary search over prefix polynomial hashes finds in log2(length)
-steps, and then by one byte. Neighbours that agree over the whole window are verified byte by byte. What the sort
-finds of a class holds for its other rows; a class of two rows or more is repeated once its first and last are found equal.
+steps, and then by one byte. Neighbours that agree over the whole window are verified byte by byte. A class of two rows or
+more is repeated throughout and serves the sort for what others share with it; an anchor of one class needs no sort.
 
 A bucket holds about ``bucket`` runs. Where an anchor has more classes than that, its windows are dealt by all
 their bytes instead: they become runs of one window, which go the same way by classes, so nothing unbounded
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -228,13 +229,21 @@ def sorted_runs(whole: DataFrame, classes: DataFrame, length: int, bucket: int,
             yield r["cell"] % buckets, r["cell"], r["h"], r["f"], r["g"], r["single"], rk, r["lo"], r["rel"], raw[r["lo"] : r["lo"] + r["n"] - 1 + length]
 
     def sort_bucket(group: pa.Table) -> pa.Table:
-        flags = repeated_windows(group.column("bytes").to_pylist(), group.column("cell").to_numpy(), group.column("rel").to_numpy().astype(np.int64), length)
-        out = []
-        for rk, lo, single, h, f, g, again in zip(*[group.column(c).to_pylist() for c in ("rk", "lo", "single", "h", "f", "g")], flags, strict=True):
-            if single:
-                out += [(rk, *span, h, f, g) for span in _spans(again, lo, length)]
-            elif again.all():
-                out.append((None, None, None, h, f, g))
+        rk, lo, rel, cell, single, raw = (group.column(c).to_pylist() for c in ("rk", "lo", "rel", "cell", "single", "bytes"))
+        names = list(zip(*[group.column(c).to_pylist() for c in ("h", "f", "g")], strict=True))
+        first: dict[tuple, int] = {}
+        twice, out = set(), []
+        for i, name in enumerate(names):
+            if first.setdefault(name, i) != i:
+                if raw[i] != raw[first[name]]:
+                    raise RuntimeError("two hashes of 64 bits agree for different bytes")
+                twice.add(name)
+        out += [(None, None, None, *name) for name in twice]
+        crowd = Counter(cell[i] for i in first.values())
+        live = [i for i in first.values() if crowd[cell[i]] > 1]
+        if live:
+            flags = repeated_windows([raw[i] for i in live], np.array([cell[i] for i in live]), np.array([rel[i] for i in live], np.int64), length)
+            out += [(rk[i], *span, *names[i]) for i, again in zip(live, flags, strict=True) if single[i] for span in _spans(again, lo[i], length)]
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         return pa.table({n: pa.array([r[i] for r in out], t) for i, (n, t) in enumerate(zip(("rk", "s", "e", "h", "f", "g"), types, strict=True))})
 
@@ -278,7 +287,7 @@ def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, slots: int
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int = 4096, slots: int = 1 << 18) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int = 1024, slots: int = 1 << 18) -> DataFrame:
     """RESULT for each row of docs(doc_id, text), with the bytes that stay as ``kept``.
 
     Every byte goes that lies in a string of ``length`` bytes which also starts anywhere else, in the same text or another;
