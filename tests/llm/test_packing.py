@@ -13,7 +13,6 @@ ODD = [None, "", " ", "\n\n a", "é😀 <|endoftext|> x", "a" * 5000, "word " *
 @pytest.fixture(scope="module")
 def reference_ids():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda texts: [e.ids for e in t.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -59,7 +58,7 @@ def test_odd_texts(spark, reference_ids):
 
 def test_neighbours_share_a_window():
     a, b = np.arange(100, 140, dtype="<u2"), np.arange(200, 240, dtype="<u2")
-    pieces = packing.pack_shard([a, b, b.copy(), a.copy()], np.ones(300), 40.0, 80, 8)
+    pieces = packing.pack_shard([a, b, b.copy(), a.copy()], np.ones(300), 40.0, 80)
     where = {}
     for d, _, _, seq, _ in pieces:
         where.setdefault(seq, set()).add(d)
