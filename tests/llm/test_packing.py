@@ -65,6 +65,50 @@ def test_neighbours_share_a_window():
     assert sorted(map(sorted, where.values())) == [[0, 3], [1, 2]]
 
 
+def bm25(docs, idf, mean, query, i):
+    """The score of document i for the distinct terms of a query, term by term."""
+    total = 0.0
+    for t in set(query.tolist()):
+        tf = int((docs[i] == t).sum())
+        total += idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(docs[i]) / mean)) if tf else 0.0
+    return total
+
+
+def test_scores_and_order_equal_plain_bm25():
+    rng = np.random.default_rng(2)
+    docs = [np.minimum(rng.zipf(1.3, rng.integers(5, 90)), 399).astype("<u2") for _ in range(120)]
+    idf, mean = rng.random(400).astype(np.float32) + 0.1, float(np.mean([len(d) for d in docs]))
+    members = np.flatnonzero(rng.random(120) < 0.7)
+    index = packing.Index([packing.counted(d) for d in docs], np.array([len(d) for d in docs]), idf, mean, members)
+    for seed in range(0, 120, 7):
+        plain = np.array([bm25(docs, idf, mean, docs[seed], i) for i in members])
+        score = index.scores(packing.counted(docs[seed])[0])
+        assert np.allclose(score, plain, rtol=1e-4)
+        order = list(packing.in_order(score))
+        assert sorted(order) == list(range(len(members))) and (np.diff(score[order]) <= 0).all()
+
+
+def test_a_window_takes_its_seed_s_best_neighbours_whatever_their_number():
+    rng = np.random.default_rng(3)
+    topics = [np.arange(50 * k, 50 * k + 50) for k in range(4)]
+    docs = [rng.choice(topics[i % 4], 20).astype("<u2") for i in range(400)]
+    pieces = packing.pack_shard(docs, np.ones(300), 20.0, 2000)
+    topic_of = {}
+    for d, _, _, seq, _ in pieces:
+        topic_of.setdefault(seq, []).append(d % 4)
+    # a hundred documents a window, all of its seed's topic
+    assert sorted(len(v) for v in topic_of.values()) == [100] * 4 and all(len(set(v)) == 1 for v in topic_of.values())
+
+
+def test_copies_share_a_key_more_often_than_others():
+    rng = np.random.default_rng(4)
+    costs = packing.sketch_costs(rng.random(5000) + 0.5)
+    base = [rng.integers(0, 5000, 200).astype("<u2") for _ in range(300)]
+    near = [np.where(rng.random(200) < 0.05, rng.integers(0, 5000, 200), b).astype("<u2") for b in base]
+    same = np.mean([packing.sketch_key(a, costs) == packing.sketch_key(b, costs) for a, b in zip(base, near, strict=True)])
+    assert same > 0.8
+
+
 def test_a_heavy_token_is_spread():
     first, spread = packing.shard_plan(np.array([0, 5, 5, 95, 5]), 10)
     assert spread.tolist() == [1, 1, 1, 10, 1]

@@ -1,11 +1,11 @@
 """Lexical retrieval packing.
 
 Documents are encoded once into a table of the shared folder. Document frequencies of all tokens give BM25
-weights. Each document goes to the shard of its rarest token, so that lexical neighbours and copies meet;
-shards are sized by their tokens, and a token that holds too many is spread over several shards. Inside
-a shard an inverted index answers, for each seed, which unused documents score best; they fill
-the seed's window in that order. The one that no longer fits is cut, and its rest is the next
-seed, so only the last window of a shard has padding.
+weights. Each document goes to the shard of its key, a weighted min-hash of its tokens, so that lexical neighbours and copies
+meet with a chance that grows with what they share; shards are sized by their tokens, and a key that holds too many is
+spread over several shards. Inside a shard an inverted index answers, for each seed and all of its terms, which unused documents
+score best; they fill the seed's window in that order until it is full. The one that no longer fits is cut, and its
+rest is the next seed, so only the last window of a shard has padding.
 
 Work: one shuffle of token ids (two bytes each). To the driver come tables of at most one row
 per vocabulary entry. A task holds one shard, about ``shard_tokens`` tokens.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm.common import pick, small_batches, stored, text_or_empty
+from voxmill.llm.shingles import mixed
 from voxmill.llm.tokens import VOCABULARY, encoder
 
 END_ID = 1
@@ -79,8 +80,18 @@ def _per_token(coded: DataFrame, size: int, weigh) -> np.ndarray:
     return out
 
 
-def rarest(ids: np.ndarray, df: np.ndarray) -> int:
-    return int(ids[np.lexsort((ids, df[ids]))[0]]) if len(ids) < 64 else int(min((int(t) for t in ids[df[ids] == df[ids].min()])))
+def sketch_costs(idf: np.ndarray) -> np.ndarray:
+    """Per token: its draw. The token of a document with the least draw is the document's key.
+
+    This is weighted min-hashing: two documents have the same key with a chance that is the share of their distinct tokens, weighted
+    by the root of idf, that they have in common.
+    """
+    u = (mixed(np.arange(len(idf), dtype=np.uint64), 5) >> np.uint64(11)).astype(float) / (1 << 53) + 2.0**-60
+    return -np.log(u) / np.sqrt(np.maximum(idf, 1e-9))
+
+
+def sketch_key(ids: np.ndarray, costs: np.ndarray) -> int:
+    return int(ids[np.argmin(costs[ids])])
 
 
 def shard_plan(load: np.ndarray, shard_tokens: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,8 +227,10 @@ def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 20, vocab
     idf = np.log1p((count - df + 0.5) / (df + 0.5))
     mean = max(1.0, float(total) / max(count, 1))
 
+    costs = sketch_costs(idf)
+
     def key_load(ids: np.ndarray) -> tuple[int, int]:
-        return rarest(ids, df), len(ids)
+        return sketch_key(ids, costs), len(ids)
 
     first, spread = shard_plan(_per_token(coded, size, key_load), shard_tokens)
 
@@ -225,7 +238,7 @@ def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 20, vocab
         for b in batches:
             shards = []
             for cell, i in zip(b.column("ids"), b.column("doc_id"), strict=True):
-                key = rarest(_ids(cell), df)
+                key = sketch_key(_ids(cell), costs)
                 shards.append(int(first[key]) + (zlib.crc32(str(i.as_py()).encode()) ^ zlib.crc32(cell.as_buffer())) % int(spread[key]))
             yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), b.column("doc_id"), b.column("ids")], ["shard", "doc_id", "ids"])
 
