@@ -71,7 +71,7 @@ def test_plan_of_eight_tiles(spark):
     assert abs(leaf.x - 1.0416666) < 1e-6
     hits = spatial.spatial_join(tiles, nodes[-1].select(F.col("path").alias("id"), *g.BOX))
     assert hits.count() == 64 and hits.select("b_id").distinct().count() == 64
-    spark.sparkContext.setCheckpointDir("file:///tmp/voxmill-test-checkpoints")
+    queries.checkpoints(spark)
     assert [r.ntiles for r in spatial.kd_jobs(tiles, box, 500).collect()] == [8]
     assert sorted(r.ntiles for r in spatial.kd_jobs(tiles, box, 1).collect()) == [1] * 8
 
@@ -79,20 +79,22 @@ def test_plan_of_eight_tiles(spark):
 def test_joins_agree_and_touching_boxes_do_not_hit(spark):
     b = queries.derived.boxes(spark, FOLDER)
     a = {tuple(r) for r in spatial.broadcast_hits(b, b).collect()}
-    assert a == {tuple(r) for r in spatial.bucketed_hits(b, b, 100).collect()} == {tuple(r) for r in spatial.spatial_join(b, b, rows=1).collect()}
+    assert a == {tuple(r) for r in spatial.bucketed_hits(b, b, [100, 60, 8]).collect()} == {tuple(r) for r in spatial.spatial_join(b, b, rows=1).collect()}
+    odd = b.unionByName(spark.createDataFrame([(-1, -50, -50, -50, 5000, 7000, 9000), (-2, 3, 3, 3, 1, 4000, 1), (-3, 9, 9, 9, 0, 5, 5)], b.schema))
+    assert {tuple(r) for r in spatial.broadcast_hits(odd, odd).collect()} == {tuple(r) for r in spatial.bucketed_hits(odd, odd).collect()}
     two = spark.createDataFrame([(1, 0, 0, 0, 5, 5, 5), (2, 5, 0, 0, 5, 5, 5)], "id long, ox long, oy long, oz long, sx long, sy long, sz long")
     assert {tuple(r) for r in spatial.broadcast_hits(two, two).collect()} == {(1, 1), (2, 2)}
 
 
 def test_kd_stops_at_one_origin(spark):
-    spark.sparkContext.setCheckpointDir("file:///tmp/voxmill-test-checkpoints")
+    queries.checkpoints(spark)
     same = spark.createDataFrame([(i, 3, 3, 3, 2, 2, 2) for i in range(9)], "id long, ox long, oy long, oz long, sx long, sy long, sz long")
     got = spatial.kd_jobs(same, same.agg(*g.aabb_union()), 4).collect()
     assert [(r.sx, r.sy, r.sz, r.ntiles) for r in got] == [(1, 1, 1, 9)]
 
 
 def test_existing_nodes_are_kept(spark):
-    spark.sparkContext.setCheckpointDir("file:///tmp/voxmill-test-checkpoints")
+    queries.checkpoints(spark)
     leaves = spark.createDataFrame([(0, x, y, z, 8) for x in range(8) for y in range(8) for z in range(8)], "c int, x int, y int, z int, v int")
     kept = spark.createDataFrame([(1, 0, 1, 0, 0, 2, 2, 0, 0, 5)], "level int, c int, nx int, ny int, nz int, side int, x int, y int, z int, v int")
     out = {(r.level, r.x, r.y, r.z): r.v for r in merge.pyramid(leaves, 2, "mean", kept).collect()}

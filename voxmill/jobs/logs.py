@@ -22,8 +22,11 @@ def categorised(lines: DataFrame) -> DataFrame:
     return timed(lines).select("*", F.explode(found).alias("category"))
 
 
-def stage_profile(lines: DataFrame) -> DataFrame:
-    q = [F.percentile("sec", p).alias(f"q{int(p * 100)}") for p in (0.25, 0.5, 0.75)]
+def stage_profile(lines: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Per category: lines, extremes, total and quartiles; exact ones, whose buffers grow with the distinct times of a category, or
+    with ``accuracy`` approximate ones of bounded buffers."""
+    quantile = (lambda p: F.percentile_approx("sec", p, accuracy)) if accuracy else (lambda p: F.percentile("sec", p))
+    q = [quantile(p).alias(f"q{int(p * 100)}") for p in (0.25, 0.5, 0.75)]
     return categorised(lines).groupBy("category").agg(F.count("*").alias("n"), F.min("sec").alias("least"), F.max("sec").alias("most"), F.sum(F.col("sec").cast("decimal(20,2)")).alias("total"), *q)
 
 
@@ -38,12 +41,12 @@ def profile_bar(lines: DataFrame) -> DataFrame:
 
 
 def log_counts(lines: DataFrame) -> DataFrame:
-    """Per file: tiles read, outputs saved, errors, failures and warnings, where any."""
+    """Per file: tiles read, outputs saved, errors, failures, warnings and faults, where any."""
     has = lambda p: F.count(F.when(F.rlike("line", F.lit(p)), 1))
     counted = lines.groupBy("file").agg(
-        has("reading input tile").alias("tiles_read"), has("(copying (from|to))|(saving output)").alias("outputs_saved"), has("ERROR").alias("errors"), has("might have failed").alias("failures"), has("WARNING").alias("warnings")
+        has("reading input tile").alias("tiles_read"), has("(copying (from|to))|(saving output)").alias("outputs_saved"), has("ERROR").alias("errors"), has("might have failed").alias("failures"), has("WARNING").alias("warnings"), has("Segmentation fault").alias("faults")
     )
-    return counted.where("tiles_read + outputs_saved + errors + failures + warnings > 0")
+    return counted.where("tiles_read + outputs_saved + errors + failures + warnings + faults > 0")
 
 
 def timing_rollup(lines: DataFrame) -> DataFrame:

@@ -68,8 +68,11 @@ def pyramid(leaves: DataFrame, depth: int, how: str | Column, existing: DataFram
         if existing is not None:
             own = existing.where(F.col("level") == k)
             cells = own.select("c", "nx", "ny", "nz", "side").distinct()
-            inside = [F.floor(level[a] / cells["side"]) == cells[f"n{a}"] for a in "xyz"] + [level["c"] == cells["c"]]
-            level = level.join(F.broadcast(cells), inside, "left_anti").unionByName(own.where("v > 0").select(*AT, "v"))
+            # nodes of a level have one side as a rule, so the join is by equal keys, one for each side
+            for side in [r.side for r in cells.select("side").distinct().collect()]:
+                at = [F.floor(level[a] / side) == cells[f"n{a}"] for a in "xyz"] + [level["c"] == cells["c"]]
+                level = level.join(cells.where(F.col("side") == side), at, "left_anti")
+            level = level.unionByName(own.where("v > 0").select(*AT, "v"))
         level = level.checkpoint()
         out.append(level.withColumn("level", F.lit(k)))
     return reduce(DataFrame.unionByName, out).select("level", *AT, "v")

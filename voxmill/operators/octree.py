@@ -47,16 +47,23 @@ def descend(tiles: DataFrame, box: DataFrame, depth: int, leaves_only: bool = Fa
     return found[-1] if leaves_only else reduce(DataFrame.unionByName, found)
 
 
-def locality(pairs: DataFrame) -> DataFrame:
-    """(id, first_leaf, rank) of tiles by the first leaf that they touch, depth first; rank by range, then in it.
+def locality(pairs: DataFrame, block_bits: int = 12) -> DataFrame:
+    """(id, first_leaf, rank) of tiles by the first leaf that they touch, depth first.
 
-    pairs(id, morton). The rank counts tiles per first leaf and adds those of earlier leaves, so no task sorts all tiles.
+    pairs(id, morton). Ranks are taken within blocks of 2^block_bits leaves, and the sizes of earlier blocks are added: a task sorts
+    one block's tiles, and the blocks themselves are ranked the same way in blocks of blocks.
     """
-    first = pairs.groupBy("id").agg(F.min("morton").alias("first_leaf"))
-    counts = first.groupBy("first_leaf").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("first_leaf").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    inside = F.row_number().over(Window.partitionBy("first_leaf").orderBy("id"))
-    return first.join(F.broadcast(before), "first_leaf").select("id", "first_leaf", (F.col("before") + inside).alias("rank"))
+    first = pairs.groupBy("id").agg(F.min("morton").alias("first_leaf")).withColumn("block", F.shiftright("first_leaf", block_bits)).withColumn("super", F.shiftright("first_leaf", 2 * block_bits))
+    sizes = first.groupBy("super", "block").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy("super").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("in_super", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    supers = sizes.groupBy("super").agg(F.sum("n").alias("all"))
+    # one row per 2^(2 x block_bits) leaves
+    earlier = Window.orderBy("super").rowsBetween(Window.unboundedPreceding, -1)
+    supers = supers.select("super", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("block").orderBy("first_leaf", "id"))
+    ranked = first.withColumn("nth", within).join(sizes.select("block", "in_super"), "block").join(supers, "super")
+    return ranked.select("id", "first_leaf", (F.col("before") + F.col("in_super") + F.col("nth")).alias("rank"))
 
 
 def leaf_shape(shapes: DataFrame, divisor: int, reach: int = 20, step: int = 2, volume: int = 4096) -> DataFrame:

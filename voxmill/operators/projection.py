@@ -21,12 +21,6 @@ def project(rows: DataFrame, crop: tuple[int, int], reducer: Column) -> DataFram
     return rows.where(F.col("z").between(*crop)).groupBy("x", "y").agg(reducer.alias("p"))
 
 
-def second_brightest() -> Column:
-    """The second greatest of the values over 0, equal ones counting each, else 0. Two maxima, not a list."""
-    two = F.slice(F.sort_array(F.collect_list(F.when(F.col("d") > 0, F.col("d"))), asc=False), 1, 2)
-    return F.coalesce(F.get(two, F.lit(1)), F.lit(0.0))
-
-
 def second_brightest_of(rows: DataFrame, crop: tuple[int, int]) -> DataFrame:
     """(x, y, p) with the second brightest: each line of voxels is ranked, so no list is built."""
     rank = F.row_number().over(Window.partitionBy("x", "y").orderBy(F.desc("d")))
@@ -37,7 +31,7 @@ def second_brightest_of(rows: DataFrame, crop: tuple[int, int]) -> DataFrame:
 def running_median(rows: DataFrame, depth: int, reach: int = 2) -> DataFrame:
     """(x, y, z, d): the median of 2 x reach + 1 along z, edges replicated; absent voxels are 0.
 
-    Each voxel is copied to the places that look at it, so lines of any length are one shuffle.
+    Window functions over each line look ahead and back, so a line is one shuffle and no voxel is copied.
     """
     dense = rows.select("x", "y").distinct().select("x", "y", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("z"))
     full = dense.join(rows, ["x", "y", "z"], "left").select("x", "y", "z", F.coalesce("d", F.lit(0.0)).alias("d"))

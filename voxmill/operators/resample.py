@@ -1,30 +1,37 @@
-"""Barycentric resampling of sub-tiles into output leaves, in numpy over one pair per call."""
+"""Barycentric resampling of sub-tiles into output leaves, in numpy over all points of a pair, Arrow in and out."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from voxmill.functions.geometry import BOX
+
+#: Voxels in a batch that a task sends on.
+SEND = 1 << 18
+
 # The five tetrahedra of a cube (corner = x + 2 y + 4 z), for the two orientations.
 TETRAHEDRA = {0: ((0, 3, 5, 6), (1, 0, 3, 5), (2, 0, 3, 6), (4, 0, 5, 6), (7, 3, 5, 6)), 90: ((1, 2, 4, 7), (0, 1, 2, 4), (3, 1, 2, 7), (5, 1, 4, 7), (6, 2, 4, 7))}
 CORNERS = np.array([[b & 1, b >> 1 & 1, b >> 2 & 1] for b in range(8)], float)
 
 
 def unit_positions(corners: np.ndarray, points: np.ndarray, orientation: int, eps: float = 1e-6) -> np.ndarray:
-    """Positions in the unit cube of points inside a hexahedron of 8 corners; NaN outside of it."""
-    out = np.full(points.shape, np.nan)
-    for tet in TETRAHEDRA[orientation]:
-        p = corners[list(tet)]
-        edges = (p[1:] - p[0]).T
-        if abs(np.linalg.det(edges)) < 1e-12:
-            continue
-        tail = np.linalg.solve(edges, (points - p[0]).T).T
-        share = np.column_stack([1 - tail.sum(axis=1), tail])
-        inside = (share >= -eps).all(axis=1) & np.isnan(out[:, 0])
-        out[inside] = share[inside] @ CORNERS[list(tet)]
+    """Positions in the unit cube of points inside a hexahedron of 8 corners; NaN outside of it. All five tetrahedra at once."""
+    tets = np.array(TETRAHEDRA[orientation])
+    p = corners[tets]
+    edges = (p[:, 1:] - p[:, :1]).transpose(0, 2, 1)
+    flat = np.abs(np.linalg.det(edges)) < 1e-12
+    edges[flat] = np.eye(3)
+    tail = np.einsum("tij,ptj->pti", np.linalg.inv(edges), points[:, None] - p[None, :, 0])
+    share = np.concatenate([1 - tail.sum(axis=2, keepdims=True), tail], axis=2)
+    inside = (share >= -eps).all(axis=2) & ~flat
+    which = inside.argmax(axis=1)
+    own = share[np.arange(len(points)), which]
+    out = np.einsum("pk,pki->pi", own, CORNERS[tets][which])
+    out[~inside.any(axis=1)] = np.nan
     return np.clip(out, 0, 1)
 
 
@@ -32,7 +39,7 @@ def sampled(block: np.ndarray, t: np.ndarray, mode: str) -> np.ndarray:
     """Values of block[x, y, z] at unit positions, nearest or linear."""
     n = np.array(block.shape)
     if mode == "nearest":
-        i = np.minimum(np.floor(t * n), n - 1).astype(int)
+        i = np.minimum(np.floor(t * n + 1e-9), n - 1).astype(int)
         return block[tuple(i.T)].astype(float)
     at = np.clip(t * n - 0.5, 0, n - 1)
     low = np.minimum(np.floor(at), np.maximum(n - 2, 0)).astype(int)
@@ -43,25 +50,56 @@ def sampled(block: np.ndarray, t: np.ndarray, mode: str) -> np.ndarray:
     return out
 
 
-def resample(pairs: DataFrame, mode: str = "nearest", leaf_px: int = 8) -> DataFrame:
-    """(path, x, y, z, v) of pairs(path, box, corners as 24 longs, orientation, block bytes, nx, ny, nz): the voxels of a leaf
-    of leaf_px pixels a side that the sub-tile covers. Pairs overlap, so ``max_merge`` follows."""
+def leaf_points(corners: np.ndarray, pixels: tuple[int, int, int]) -> np.ndarray:
+    """The pixels of a leaf whose centres may lie in a hexahedron of such corners, in pixels of the leaf."""
+    low = np.maximum(np.floor(corners.min(0) - 0.5).astype(int), 0)
+    high = np.minimum(np.ceil(corners.max(0) + 0.5).astype(int), pixels)
+    axes = [np.arange(a, max(a, b)) for a, b in zip(low, high, strict=True)]
+    return np.stack(np.meshgrid(*axes, indexing="ij"), -1).reshape(-1, 3)
+
+
+def covered(corners: np.ndarray, box: np.ndarray, pixels: tuple[int, int, int], orientation: int, block: np.ndarray, mode: str, eps: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """(pixels, values) of a leaf of box (origin, shape) that a sub-tile covers."""
+    at = (corners - box[:3]) / (box[3:] / np.array(pixels))
+    near = leaf_points(at, pixels)
+    t = unit_positions(at, near + 0.5, orientation, eps)
+    ok = ~np.isnan(t[:, 0])
+    return near[ok], np.rint(sampled(block, t[ok], mode)).astype(np.int32)
+
+
+def resample(pairs: DataFrame, mode: str = "nearest", pixels: tuple[int, int, int] = (8, 8, 8), keep: tuple[str, ...] = ("path",)) -> DataFrame:
+    """(keep, x, y, z, v) of pairs(keep, box, corners as 24 longs, orientation, block bytes, nx, ny, nz): the voxels over 0 of a leaf
+    of such pixels that the sub-tile covers. Pairs overlap, so ``max_merge`` follows. A task holds one pair's leaf at a time."""
     if mode not in ("nearest", "linear"):
         raise ValueError(f"no such interpolation: {mode}")
-    grid = np.stack(np.meshgrid(*[np.arange(leaf_px)] * 3, indexing="ij"), -1).reshape(-1, 3)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for r in f.itertuples():
-                origin, voxel = np.array([r.ox, r.oy, r.oz], float), np.array([r.sx, r.sy, r.sz]) / leaf_px
-                corners = (np.array(r.corners, float).reshape(8, 3) - origin) / voxel
-                near = grid[((grid + 1 > corners.min(0)) & (grid < corners.max(0))).all(axis=1)]
-                t = unit_positions(corners, near + 0.5, r.orientation)
-                ok = ~np.isnan(t[:, 0])
-                block = np.frombuffer(r.block, "<u2").reshape(r.nz, r.ny, r.nx).transpose(2, 1, 0)
-                v = np.rint(sampled(block, t[ok], mode)).astype(int)
-                out.append(pd.DataFrame({"path": r.path, "x": near[ok, 0], "y": near[ok, 1], "z": near[ok, 2], "v": v}))
-            yield pd.concat(out) if out else pd.DataFrame({"path": [], "x": [], "y": [], "z": [], "v": []})
-
-    return pairs.mapInPandas(run, "path string, x int, y int, z int, v int")
+    names = [*keep, "x", "y", "z", "v"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = {c: b.column(c).to_numpy(zero_copy_only=False) for c in (*BOX, "nx", "ny", "nz", "orientation")}
+            corners = b.column("corners").flatten().to_numpy().reshape(-1, 8, 3).astype(float)
+            rows, at, v, held = [], [], [], 0
+
+            def sent(rows: list, at: list, v: list) -> pa.RecordBatch:
+                own = b.select(list(keep)).take(pa.array(np.repeat(rows, [len(x) for x in v]), pa.int64()))
+                return pa.RecordBatch.from_arrays([*own.columns, *[pa.array(c, pa.int32()) for c in np.concatenate(at).T], pa.array(np.concatenate(v), pa.int32())], names)
+
+            for i, cell in enumerate(b.column("block")):
+                shape = tuple(int(column[f"n{a}"][i]) for a in "zyx")
+                block = np.frombuffer(cell.as_buffer(), "<u2").reshape(shape).transpose(2, 1, 0)
+                if not block.any():
+                    continue
+                pix, values = covered(corners[i], np.array([column[c][i] for c in BOX], float), pixels, int(column["orientation"][i]), block, mode)
+                lit = values > 0
+                rows.append(i)
+                at.append(pix[lit].astype(np.int32))
+                v.append(values[lit])
+                held += len(v[-1])
+                if held > SEND:
+                    yield sent(rows, at, v)
+                    rows, at, v, held = [], [], [], 0
+            if rows:
+                yield sent(rows, at, v)
+
+    kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
+    return pairs.select(*keep, *BOX, "corners", "orientation", "block", "nx", "ny", "nz").mapInArrow(run, ", ".join([*[f"{c} {kinds[c]}" for c in keep], "x int", "y int", "z int", "v int"]))

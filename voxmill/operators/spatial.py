@@ -2,32 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voxmill.functions.geometry import AXES, BOX, aabb_contains_origin, aabb_hit, halved
 
 #: A side goes out whole to every task only up to this many rows, which are counted first.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 500
 
 
-def _cells(df: DataFrame, cell: int) -> DataFrame:
-    for x in AXES:
-        df = df.withColumn(f"c{x}", F.explode(F.sequence(F.floor(F.col(f"o{x}") / cell), F.floor((F.col(f"o{x}") + F.col(f"s{x}") - 1) / cell))))
+def cell_sides(*sides: DataFrame) -> list[int]:
+    """The grid cell for boxes: per axis the upper quartile of the sides of either table, the larger of the two; 1 at least."""
+    found = [d.agg(*[F.percentile_approx(f"s{x}", 0.75).alias(x) for x in AXES]).first() for d in sides]
+    return [max(1, *(r[x] or 1 for r in found)) for x in AXES]
+
+
+def _level(cell: list[int]) -> Column:
+    """How often the cell must be doubled to be as large as a box; 0 at least."""
+    return F.greatest(F.lit(0), *[F.ceil(F.log2(F.col(f"s{x}") / c)).cast("int") for x, c in zip(AXES, cell, strict=True)])
+
+
+def _cells(df: DataFrame, cell: list[int], levels: list[int]) -> DataFrame:
+    """A row for each cell that a box touches: at its own level, and at every higher one that is in use."""
+    df = df.withColumn("own", _level(cell))
+    df = df.withColumn("level", F.explode(F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v >= F.col("own"))))
+    for x, c in zip(AXES, cell, strict=True):
+        side = F.expr(f"shiftleft({c}L, level)")
+        df = df.withColumn(f"w{x}", side).withColumn(f"c{x}", F.explode(F.sequence(F.floor(F.col(f"o{x}") / side), F.floor((F.col(f"o{x}") + F.col(f"s{x}") - 1) / side))))
     return df
 
 
-def bucketed_hits(a: DataFrame, b: DataFrame, cell: int = 64) -> DataFrame:
+def bucketed_hits(a: DataFrame, b: DataFrame, cell: list[int] | None = None) -> DataFrame:
     """(a_id, b_id) of overlapping boxes with extent, by an equi-join on grid cells.
 
-    Each pair is kept in the one cell where its overlap begins, so there is no distinct.
+    Cells follow from the boxes: one of usual size touches eight at most, and larger ones lie in coarser grids, so no box touches
+    many. Two boxes meet in the grid of the larger one, in the one cell where their overlap begins, so there is no distinct.
     """
-    left = _cells(a.select(F.col("id").alias("a_id"), *BOX), cell).alias("a")
-    right = _cells(b.select(F.col("id").alias("b_id"), *BOX), cell).alias("b")
-    same = [F.col(f"a.c{x}") == F.col(f"b.c{x}") for x in AXES]
-    begins = F.lit(True)
+    extent = " AND ".join(f"s{x} > 0" for x in AXES)
+    a, b = (d.where(extent) for d in (a, b))
+    cell = cell or cell_sides(a, b)
+    levels = sorted({r[0] for d in (a, b) for r in d.select(_level(cell)).distinct().collect()})  # a few dozen at most
+    left = _cells(a.select(F.col("id").alias("a_id"), *BOX), cell, levels).alias("a")
+    right = _cells(b.select(F.col("id").alias("b_id"), *BOX), cell, levels).alias("b")
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("level", *[f"c{x}" for x in AXES])]
+    begins = F.greatest("a.own", "b.own") == F.col("a.level")
     for x in AXES:
-        begins = begins & (F.floor(F.greatest(f"a.o{x}", f"b.o{x}") / cell) == F.col(f"a.c{x}"))
+        begins = begins & (F.floor(F.greatest(f"a.o{x}", f"b.o{x}") / F.col(f"a.w{x}")) == F.col(f"a.c{x}"))
     return left.join(right, same).where(aabb_hit("a", "b") & begins).select("a_id", "b_id")
 
 
@@ -37,10 +58,10 @@ def broadcast_hits(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select(F.col("id").alias("a_id"), *BOX).alias("a").join(F.broadcast(right), aabb_hit("a", "b")).select("a_id", "b_id")
 
 
-def spatial_join(a: DataFrame, b: DataFrame, cell: int = 64, rows: int = BROADCAST_ROWS) -> DataFrame:
+def spatial_join(a: DataFrame, b: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """(a_id, b_id) of overlapping boxes: b goes out whole if it has at most ``rows`` rows, else cells are joined."""
     small = b.limit(rows + 1).count() <= rows
-    return broadcast_hits(a, b) if small else bucketed_hits(a, b, cell)
+    return broadcast_hits(a, b) if small else bucketed_hits(a, b)
 
 
 def in_box(tiles: DataFrame, box: DataFrame, outside: bool = False) -> DataFrame:
@@ -78,3 +99,12 @@ def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64) -> D
         half = halved(F.col("upper"))
         held = split.select(*[f"t{x}" for x in AXES], *[half[c].alias(c) for c in BOX]).checkpoint()
     raise RuntimeError("boxes did not shrink")
+
+
+def in_descending_order(jobs: DataFrame) -> DataFrame:
+    """Jobs with their number, the largest first: ranked among those of equal size, after the counts of all larger sizes."""
+    sizes = jobs.groupBy("ntiles").agg(F.count("*").alias("n"))
+    # one row per size of a job
+    before = sizes.select("ntiles", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("ntiles")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("ntiles").orderBy(*BOX))
+    return jobs.withColumn("nth", nth).join(before, "ntiles").withColumn("job", F.col("before") + F.col("nth")).drop("nth", "before")

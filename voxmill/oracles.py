@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_BOXES = """boxes AS (SELECT p_partkey AS id, p_partkey * 37 % 997 AS ox, p_partkey * 91 % 991 AS oy, (p_partkey * 53 + p_partkey * p_partkey) % 983 AS oz,
+_BOXES = """boxes AS (SELECT p_partkey AS id, p_partkey * 37 % 997 + p_partkey // 2000 * 1000 AS ox, p_partkey * 91 % 991 AS oy, (p_partkey * 53 + p_partkey * p_partkey) % 983 AS oz,
   p_size::BIGINT * 4 + 20 AS sx, p_size::BIGINT * 3 + 40 AS sy, p_size::BIGINT * 2 + 60 AS sz FROM part)"""
 _BBOX = """bbox AS (SELECT min(ox) AS ox, min(oy) AS oy, min(oz) AS oz, max(ox + sx) - min(ox) AS sx, max(oy + sy) - min(oy) AS sy, max(oz + sz) - min(oz) AS sz FROM boxes)"""
 _NODES = """nodes AS (
@@ -13,10 +13,10 @@ _NODES = """nodes AS (
     (sx >> 1) + ((d - 1) & 1) * (sx % 2), (sy >> 1) + (((d - 1) >> 1) & 1) * (sy % 2), (sz >> 1) + (((d - 1) >> 2) & 1) * (sz % 2)
   FROM nodes, (SELECT unnest(generate_series(1, 8)) AS d) WHERE level < 2)"""
 _HIT = """a.ox < b.ox + b.sx AND b.ox < a.ox + a.sx AND a.oy < b.oy + b.sy AND b.oy < a.oy + a.sy AND a.oz < b.oz + b.sz AND b.oz < a.oz + a.sz"""
-_VOXELS = """voxels AS (SELECT (l_orderkey >> 4) & 3 AS src, l_linenumber % 3 AS c, (l_partkey & 15)::INT AS x, (l_suppkey & 15)::INT AS y, (l_orderkey & 15)::INT AS z,
+_VOXELS = """voxels AS (SELECT (l_orderkey >> 4) & 3 AS src, l_linenumber % 3 AS c, ((l_partkey & 15) + (l_orderkey >> 14) * 16)::INT AS x, (l_suppkey & 15)::INT AS y, (l_orderkey & 15)::INT AS z,
   (floor(l_extendedprice)::BIGINT & 65535)::INT AS v FROM lineitem)"""
 _MERGED = """merged AS (SELECT c, x, y, z, max(v) AS v FROM voxels GROUP BY ALL)"""
-_PATHS = """paths AS (SELECT o_orderkey AS k, o_orderkey % 512 + 1 AS job, (((o_orderkey >> 6) & 7) + 1) || '/' || (((o_orderkey >> 3) & 7) + 1) || '/' || ((o_orderkey & 7) + 1) AS path FROM orders)"""
+_PATHS = """paths AS (SELECT o_orderkey AS k, o_orderkey % 512 + 1 AS job, o_orderstatus = 'F' AS lit, (((o_orderkey >> 6) & 7) + 1) || '/' || (((o_orderkey >> 3) & 7) + 1) || '/' || ((o_orderkey & 7) + 1) AS path FROM orders)"""
 _NODES3 = """xs AS (SELECT unnest([1, 2, 3]) AS ix), ys AS (SELECT unnest([1, 2]) AS iy), zs AS (SELECT unnest([1, 2, 3]) AS iz),
 grid AS (SELECT id, ix, iy, iz, ox + sx * (ix - 1) // 2 AS x, oy + sy * (iy - 1) AS y, oz + sz * (iz - 1) // 2 AS z FROM boxes, xs, ys, zs),
 cells AS (SELECT DISTINCT id, ix, iy, iz FROM grid WHERE ix < 3 AND iy < 2 AND iz < 3),
@@ -32,6 +32,7 @@ _LINES = f"""texts AS (SELECT *, ([{_quoted([*_LEAF, *_MERGE, *_TREE, "overall"]
 lines AS (SELECT 'squatter' || (user_id % 20) || '.log' AS file, event_id, CASE
   WHEN event_type = 'error' THEN '[ ERROR: ' || text || ' might have failed'
   WHEN event_type = 'signup' AND event_id % 3 = 0 THEN '[ WARNING: ' || text
+  WHEN event_type = 'view' AND event_id % 5 = 0 THEN 'Segmentation fault in ' || text
   ELSE '[ Info: PEON: ' || text || ' took ' || coalesce(value, 0)::DECIMAL(18, 2) || ' sec' END AS line FROM texts),
 timed AS (SELECT *, ('0' || regexp_extract(line, '([0-9.]*) sec', 1))::DOUBLE AS sec FROM lines WHERE contains(line, 'took')),
 cats AS (SELECT unnest([{_quoted([*_LEAF, "overall", "peons", "squatters", "merging", *_MERGE, *_TREE])}]) AS category),
@@ -71,15 +72,17 @@ def _second(src: str, out: str) -> str:
 _UNION = "min(ox) AS ox, min(oy) AS oy, min(oz) AS oz, max(ox + sx) - min(ox) AS sx, max(oy + sy) - min(oy) AS sy, max(oz + sz) - min(oz) AS sz"
 _STACK = f"""faces AS (SELECT {_face("i", "1234")} AS face FROM (SELECT unnest(generate_series(0, 63)) AS i)),
 stack AS (SELECT face, d::INT AS i, {" || ".join(f"(substr(face, {j + 1}, 1)::INT + ((d >> {2 - j}) & 1) * 4)" for j in range(3))} AS leaf FROM faces, (SELECT unnest(generate_series(0, 7)) AS d)),
-leaves AS (SELECT DISTINCT replace(path, '/', '') AS leaf FROM paths WHERE (k & 511) % 3 <> 0),
+leaves AS (SELECT replace(path, '/', '') AS leaf FROM paths GROUP BY 1 HAVING sum(CASE WHEN lit THEN 1 ELSE -1 END) > 0),
 found AS (SELECT face, i, leaf, min(i) OVER (PARTITION BY face) AS skipped, (row_number() OVER (PARTITION BY face ORDER BY i) - 1)::INT AS position FROM stack SEMI JOIN leaves USING (leaf))"""
 
 ORACLES = {
     "tile_catalog": _with(_BOXES) + "SELECT id, printf('/%02d/%05d', id % 100, id) AS path, ox, oy, oz, sx, sy, sz, '16,32,64,1' AS dims, '3,' || (id % 20 + 10) || ',60' AS zlims FROM boxes",
-    "load_tiles": _with(_VOXELS) + "SELECT 'tile' || src AS path, c, x, y, z, max(v) AS v FROM voxels WHERE v > 0 GROUP BY ALL",
+    "load_tiles": _with(_VOXELS) + "SELECT 'tile-' || src || '-' || (x >> 4) AS path, c, x % 16 AS x, y, z, max(v) AS v FROM voxels WHERE v > 0 GROUP BY ALL",
     "tile_count": _with(_BOXES) + "SELECT printf('/%02d', id % 100) AS folder, count(*) AS n, min(id) AS first_id FROM boxes GROUP BY 1",
     "tile_attrs": _with(_BOXES) + "SELECT id, printf('/%02d/%05d', id % 100, id) AS path, 1 AS nchannels, ox || ',' || oy || ',' || oz AS ori FROM boxes",
-    "grid_validate": _with(_BOXES) + "SELECT id, CASE WHEN 60 >= 64 THEN 'zlims_inside' ELSE '' END AS broken FROM boxes",
+    "grid_validate": _with(_BOXES) + """SELECT id, concat_ws(',', CASE WHEN id % 7 = 0 THEN 'xlims_even' END, CASE WHEN id % 11 = 0 THEN 'zlims_rising' END, CASE WHEN id % 10 = 0 THEN 'zlims_inside' END) AS broken FROM boxes""",
+    "grid_validate_shared": _with(_BOXES) + """SELECT 'same_zlims_count' AS rule, count(DISTINCT id % 13 = 0 AND id % 11 <> 0) AS kinds, count(DISTINCT id % 13 = 0 AND id % 11 <> 0) > 1 AS broken FROM boxes
+UNION ALL SELECT 'same_xlims', count(DISTINCT id % 7 = 0), count(DISTINCT id % 7 = 0) > 1 FROM boxes UNION ALL SELECT 'same_ylims', 1, false""",
     "aabb_hit": _with(_BOXES) + f"SELECT a.id, count(*) AS hits FROM boxes a JOIN boxes b ON {_HIT} GROUP BY a.id",
     "aabb_set": _with(_BOXES) + "SELECT id, CASE WHEN id % 2 = 0 THEN ox + 5 ELSE ox END AS ox, oy, oz, sx, sy, 7::BIGINT AS sz FROM boxes",
     "aabb_volume": _with(_BOXES) + "SELECT id, sx::DOUBLE * sy * sz AS volume FROM boxes",
@@ -135,10 +138,10 @@ SELECT vec_id, array_to_string(list_sort(list_distinct(lims)), ',') AS ordered,
     SELECT CASE WHEN ax = 0 AND u THEN ox + sx // 2 ELSE ox END AS ox, CASE WHEN ax = 1 AND u THEN oy + sy // 2 ELSE oy END AS oy, CASE WHEN ax = 2 AND u THEN oz + sz // 2 ELSE oz END AS oz,
       CASE WHEN ax <> 0 THEN sx WHEN u THEN sx - sx // 2 ELSE sx // 2 END AS sx, CASE WHEN ax <> 1 THEN sy WHEN u THEN sy - sy // 2 ELSE sy // 2 END AS sy, CASE WHEN ax <> 2 THEN sz WHEN u THEN sz - sz // 2 ELSE sz // 2 END AS sz
     FROM (SELECT *, CASE WHEN sx >= sy AND sx >= sz THEN 0 WHEN sy >= sz THEN 1 ELSE 2 END AS ax FROM jobs WHERE n > 120 AND greatest(sx, sy, sz) > 1), (SELECT unnest([false, true]) AS u)) h)""", recursive=True)
-    + "SELECT ox, oy, oz, sx, sy, sz, n AS ntiles FROM jobs WHERE n > 0 AND (n <= 120 OR greatest(sx, sy, sz) <= 1)",
+    + "SELECT row_number() OVER (ORDER BY n DESC, ox, oy, oz, sx, sy, sz) AS job, ox, oy, oz, sx, sy, sz, n AS ntiles FROM jobs WHERE n > 0 AND (n <= 120 OR greatest(sx, sy, sz) <= 1)",
     "tile_locality_order": _with(_BOXES, _BBOX, _NODES, f"f AS (SELECT a.id, min(b.morton) AS first_leaf FROM boxes a JOIN nodes b ON b.level = 2 AND {_HIT} GROUP BY 1)", recursive=True) + "SELECT id, first_leaf, row_number() OVER (ORDER BY first_leaf, id) AS rank FROM f",
     "max_merge": _with(_VOXELS, _MERGED) + "SELECT * FROM merged",
-    "merge_octrees": _with(_VOXELS) + "SELECT c, x, y, z, max(v) AS v FROM voxels WHERE src <> 1 GROUP BY ALL",
+    "merge_octrees": _with(_VOXELS) + "SELECT c, x, y, z, max(v) AS v FROM voxels GROUP BY ALL",
     "exclude_nodes": _with(_VOXELS) + "SELECT x, y, count(*) AS n FROM voxels ANTI JOIN (SELECT x, y, z FROM voxels WHERE v > 65000) USING (x, y, z) GROUP BY ALL",
     "downsample_first": _with(_VOXELS, _MERGED) + "SELECT c, x >> 1 AS x, y >> 1 AS y, z >> 1 AS z, v FROM merged WHERE x % 2 = 0 AND y % 2 = 0 AND z % 2 = 0",
     "downsample_mean": _with(_VOXELS, _MERGED) + "SELECT c, x >> 1 AS x, y >> 1 AS y, z >> 1 AS z, (sum(v)::BIGINT >> 3)::INT AS v FROM merged GROUP BY 1, 2, 3, 4",
@@ -164,12 +167,17 @@ seen AS (SELECT xy.x, xy.y, zs.z, median(coalesce(m.v, 0)::DOUBLE) AS d FROM xy,
     "profile_bar": _with(_LINES) + f"""SELECT CASE WHEN category IN ({_quoted(_LEAF)}) THEN 'leaf' WHEN category IN ({_quoted(_MERGE)}) THEN 'merge' ELSE 'octree' END AS stage_group, category,
   round(sum(sec::DECIMAL(20, 2))::DOUBLE / 3600, 9) AS hours FROM tagged WHERE category IN ({_quoted([*_LEAF, *_MERGE, *_TREE])}) GROUP BY ALL""",
     "log_counts": _with(_LINES) + """SELECT file, count(*) FILTER (contains(line, 'reading input tile')) AS tiles_read, count(*) FILTER (regexp_matches(line, '(copying (from|to))|(saving output)')) AS outputs_saved,
-  count(*) FILTER (contains(line, 'ERROR')) AS errors, count(*) FILTER (contains(line, 'might have failed')) AS failures, count(*) FILTER (contains(line, 'WARNING')) AS warnings FROM lines GROUP BY file
-HAVING tiles_read + outputs_saved + errors + failures + warnings > 0""",
+  count(*) FILTER (contains(line, 'ERROR')) AS errors, count(*) FILTER (contains(line, 'might have failed')) AS failures, count(*) FILTER (contains(line, 'WARNING')) AS warnings, count(*) FILTER (contains(line, 'Segmentation fault')) AS faults FROM lines GROUP BY file
+HAVING tiles_read + outputs_saved + errors + failures + warnings + faults > 0""",
     "timing_rollup": _with(_LINES) + "SELECT file, category, sum(sec::DECIMAL(20, 2))::DOUBLE AS total FROM tagged GROUP BY ALL",
     "monitor_scan": _with(_MONITOR) + "SELECT * FROM samples",
     "cluster_series_sum": _with(_MONITOR) + "SELECT seq::INT AS seq, sum(ntiles)::BIGINT AS ntiles FROM (SELECT row_number() OVER (PARTITION BY node ORDER BY event_id) AS seq, ntiles FROM samples) GROUP BY seq",
     "node_rates": """WITH t AS (SELECT user_id AS node, event_id AS seq, (event_id * 104857600 + floor(coalesce(value, 0) * 1000000)::BIGINT) * 3 AS rx FROM events)
 SELECT node, seq, rx, (rx - lag(rx) OVER (PARTITION BY node ORDER BY seq)) // 600 // 1024 // 1024 AS mbps FROM t""",
     "incomplete_outputs": _with(_VOXELS) + "SELECT x, y, z, count(DISTINCT src) AS ready, max(v % 5)::BIGINT AS expected FROM voxels GROUP BY ALL HAVING expected > 1 AND expected <> ready",
+    "resample_nearest": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, "g AS (SELECT unnest(generate_series(0, 7))::INT AS i)",
+        "bricks AS (SELECT l_partkey AS id, (l_suppkey & 3) AS kx, (l_orderkey & 3) AS ky, (l_linenumber & 3) AS kz, max((floor(l_extendedprice)::BIGINT & 65535)::INT) AS v FROM lineitem GROUP BY ALL)",
+        *[f"""on{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, least(3, floor(((b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x}) * 4 + 1e-9::DOUBLE))::INT AS k{x}
+  FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} BETWEEN 0 AND 1)""" for x in "xyz"], recursive=True)
+    + "SELECT path, x, y, z, max(v) AS v FROM onx JOIN ony USING (path, id, ix, iy, iz) JOIN onz USING (path, id, ix, iy, iz) JOIN bricks USING (id, kx, ky, kz) WHERE v > 0 GROUP BY ALL",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import pandas as pd
@@ -24,10 +25,13 @@ JOB_TILES = 120
 
 
 def checkpoints(spark: SparkSession) -> None:
-    """Loops checkpoint to the folder of spark.checkpoint.dir; only where that is unset is one made here."""
+    """Loops checkpoint to the folder of spark.checkpoint.dir; only in one process, and where that is unset, is one made here."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='voxmill-')}")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='voxmill-')}")
 
 
 def _bbox(spark, d):
@@ -51,9 +55,9 @@ def tile_catalog(spark, d):
 
 
 def load_tiles(spark, d):
-    """The tiles of each source written as TIFF stacks and read again."""
-    v = derived.voxels(spark, d).withColumn("path", F.concat(F.lit("tile"), F.col("src").cast("string")))
-    return tiff.decoded(tiff.encoded(v, (16, 16, 16)))
+    """The tiles of each source written as TIFF stacks and read again; a stack is made of the greatest values of at most 16^3 places."""
+    v = derived.voxels(spark, d).withColumn("path", F.concat_ws("-", F.lit("tile"), "src", F.shiftright("x", 4))).withColumn("x", F.col("x") % 16)
+    return tiff.decoded(tiff.encoded(v.groupBy("path", "c", "x", "y", "z").agg(F.max("v").alias("v")), (16, 16, 16)))
 
 
 def tile_count(spark, d):
@@ -65,7 +69,20 @@ def tile_attrs(spark, d):
 
 
 def grid_validate(spark, d):
-    return derived.tiles(spark, d).select("id", F.concat_ws(",", catalog.violations()).alias("broken"))
+    return _odd_tiles(spark, d).select("id", F.concat_ws(",", catalog.violations()).alias("broken"))
+
+
+def _odd_tiles(spark, d):
+    """Tiles of which some have uneven, unordered or too large limits."""
+    t = derived.tiles(spark, d)
+    uneven = F.when(F.col("id") % 7 == 0, F.array(F.lit(0), F.lit(7), F.lit(13))).otherwise(F.col("xlims"))
+    last = F.when(F.col("id") % 10 == 0, 64).otherwise(60)
+    z = F.when(F.col("id") % 11 == 0, F.array(F.lit(3), F.lit(3), last)).when(F.col("id") % 13 == 0, F.array(F.lit(3), last)).otherwise(F.array(F.lit(3), (F.col("id") % 20 + 10).cast("int"), last))
+    return t.withColumn("xlims", uneven).withColumn("zlims", z)
+
+
+def grid_validate_shared(spark, d):
+    return catalog.shared_violations(_odd_tiles(spark, d))
 
 
 def aabb_hit(spark, d):
@@ -179,7 +196,9 @@ def quadtree_to_xy(spark, d):
 
 
 def _leaf_paths(spark, d):
-    return derived.node_paths(spark, d).where("(k & 511) % 3 <> 0").select(F.replace(F.col("path"), F.lit("/"), F.lit("")).alias("leaf")).distinct()
+    """Leaves that have an image: those with more lit orders than others."""
+    by_leaf = derived.node_paths(spark, d).groupBy(F.replace(F.col("path"), F.lit("/"), F.lit("")).alias("leaf")).agg(F.sum(F.when(F.col("lit"), 1).otherwise(-1)).alias("light"))
+    return by_leaf.where("light > 0").select("leaf")
 
 
 def face_leaf_stack(spark, d):
@@ -257,7 +276,7 @@ def array_scalars(spark, d):
 
 def leaf_tile_overlap(spark, d):
     leaves = _leaves(spark, d).select("morton", "path")
-    return _pairs(spark, d).join(F.broadcast(leaves), "morton").select("path", "id")
+    return _pairs(spark, d).join(leaves, "morton").select("path", "id")
 
 
 def leaf_tile_count(spark, d):
@@ -289,7 +308,8 @@ def tiles_per_box(spark, d):
 
 def kd_jobs(spark, d):
     checkpoints(spark)
-    return spatial.kd_jobs(derived.boxes(spark, d), _bbox(spark, d), JOB_TILES).select(*[F.col(c).cast("long").alias(c) for c in BOX], "ntiles")
+    jobs = spatial.in_descending_order(spatial.kd_jobs(derived.boxes(spark, d), _bbox(spark, d), JOB_TILES))
+    return jobs.select("job", *[F.col(c).cast("long").alias(c) for c in BOX], "ntiles")
 
 
 def tile_locality_order(spark, d):
@@ -302,7 +322,7 @@ def max_merge(spark, d):
 
 def merge_octrees(spark, d):
     v = derived.voxels(spark, d)
-    return merge.max_merge(*[v.where(F.col("src") == k) for k in (0, 2, 3)])
+    return merge.max_merge(*[v.where(F.col("src") == k) for k in range(4)])
 
 
 def exclude_nodes(spark, d):
@@ -376,7 +396,8 @@ def mosaic(spark, d):
 
 def gaussian_downsample(spark, d):
     image = projection.as_pixels(project_max(spark, d))
-    return projection.gaussian(image, 16, 16, 6, 5)
+    width = 16 * (image.agg(F.coalesce(F.max(F.shiftright("x", 4)), F.lit(0))).first()[0] + 1)
+    return projection.gaussian(image, width, 16, width * 6 // 16, 5)
 
 
 def octree_listing(spark, d):
@@ -445,10 +466,15 @@ def _resample(spark, d, mode):
     tile = F.struct("id", "ix", "iy", "iz", "corners", "orientation")
     hits = spatial.spatial_join(cells.select(tile.alias("id"), *BOX), _leaves(spark, d).select(F.struct("path", *BOX).alias("id"), *BOX))
     pairs = hits.select("a_id.*", F.col("b_id.path").alias("path"), *[F.col(f"b_id.{c}").alias(c) for c in BOX])
-    # blocks of 4 x 4 x 4 voxels made from the tile's id: little-endian u16, x fastest
-    byte = lambda i: F.lpad(F.hex((F.col("id") * 31 + F.col("ix") * 7 + i * 11) % 256), 2, "0")
-    block = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long")), lambda i: F.concat(byte(i), byte(i + 3))), ""))
-    one = pairs.select("path", *BOX, "corners", "orientation", block.alias("block"), *[F.lit(4).alias(f"n{a}") for a in AXES])
+    # a tile's voxels are the lines of its part: 4 x 4 x 4 places, greatest price first
+    lines = derived.read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+    voxels = lines.selectExpr("l_partkey AS id", "CAST((l_suppkey & 3) + 4 * (l_orderkey & 3) + 16 * (l_linenumber & 3) AS INT) AS at", "CAST(floor(l_extendedprice) AS BIGINT) & 65535 AS v")
+    voxels = voxels.groupBy("id", "at").agg(F.max("v").alias("v"))
+    bricks = voxels.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("lit"))  # at most 64 entries
+    word = lambda i: F.lpad(F.hex(F.coalesce(F.try_element_at("lit", i), F.lit(0))), 4, "0")
+    little = lambda w: F.concat(F.substring(w, 3, 2), F.substring(w, 1, 2))
+    block = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: little(word(i))), ""))
+    one = pairs.join(bricks.select("id", block.alias("block")), "id").select("path", *BOX, "corners", "orientation", "block", *[F.lit(4).alias(f"n{a}") for a in AXES])
     return resample.resample(one, mode).groupBy("path", "x", "y", "z").agg(F.max("v").alias("v"))
 
 
@@ -464,7 +490,7 @@ FLAGSHIP = "leaf_tile_count"
 QUERIES = {
     f.__name__: f
     for f in (
-        leaf_tile_count, tile_catalog, load_tiles, tile_count, tile_attrs, grid_validate, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
+        leaf_tile_count, tile_catalog, load_tiles, tile_count, tile_attrs, grid_validate, grid_validate_shared, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
         leaf_shape_search, transform_params, roi_box, roi_from_morton, tiles_in_roi, subtile_corners, subtile_aabb, leaf_transform, subtile_slice, morton_decode, face_paths, quadtree_to_xy,
         face_leaf_stack, face_stack_voxels, crop_range, scale_clamp, path_ops, octal_digits, human_readable, string_scalars, math_scalars, array_scalars, leaf_tile_overlap, solo_leaves,
         octree_descend, subtiles_per_leaf, tiles_per_box, kd_jobs, tile_locality_order, max_merge, merge_octrees, exclude_nodes, downsample_first, downsample_mean, downsample_second,

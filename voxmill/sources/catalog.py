@@ -42,6 +42,23 @@ def violations() -> Column:
     return F.array_compact(F.array(*[F.when(~ok, F.lit(n)) for n, ok in rules.items()]))
 
 
+#: What all tiles of a catalogue must share.
+SHARED = {"same_zlims_count": "size(zlims)", "same_xlims": "xlims", "same_ylims": "ylims"}
+
+
+def shared_violations(tiles: DataFrame) -> DataFrame:
+    """(rule, kinds, broken) of the rules that hold between tiles: how many different values there are, and whether that is too many."""
+    each = tiles.select(F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.expr(f"concat_ws(',', {what})" if "size" not in what else f"cast({what} AS string)").alias("value")) for rule, what in SHARED.items()])).alias("r"))
+    return each.groupBy("r.rule").agg(F.count_distinct("r.value").alias("kinds")).withColumn("broken", F.col("kinds") > 1)
+
+
+def grid_nodes(tiles: DataFrame) -> DataFrame:
+    """(id, ix, iy, iz, x, y, z) of each control point of tiles(id, xlims, ylims, coordinates), indexes from 1, x fastest."""
+    each = tiles.select("id", F.size("xlims").alias("nx"), F.size("ylims").alias("ny"), "coordinates", F.explode(F.sequence(F.lit(0), (F.size("coordinates") / 3 - 1).cast("int"))).alias("k"))
+    at = [F.get("coordinates", F.col("k") * 3 + i).alias(a) for i, a in enumerate(AXES)]
+    return each.select("id", (F.col("k") % F.col("nx") + 1).alias("ix"), (F.floor(F.col("k") / F.col("nx")) % F.col("ny") + 1).cast("int").alias("iy"), (F.floor(F.col("k") / (F.col("nx") * F.col("ny"))) + 1).cast("int").alias("iz"), *at)
+
+
 def corner_nodes(nodes: DataFrame) -> DataFrame:
     """(id, ix, iy, iz, b, x, y, z): the eight corners of each sub-tile of nodes(id, ix, iy, iz, x, y, z).
 

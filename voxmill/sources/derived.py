@@ -12,9 +12,9 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tile boxes: id, ox, oy, oz, sx, sy, sz."""
+    """Tile boxes: id, ox, oy, oz, sx, sy, sz. Each 2,000 tiles lie further along x, so that tiles don't get denser with their number."""
     return read(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr(
-        "p_partkey AS id", "p_partkey * 37 % 997 AS ox", "p_partkey * 91 % 991 AS oy", "(p_partkey * 53 + p_partkey * p_partkey) % 983 AS oz",
+        "p_partkey AS id", "p_partkey * 37 % 997 + p_partkey div 2000 * 1000 AS ox", "p_partkey * 91 % 991 AS oy", "(p_partkey * 53 + p_partkey * p_partkey) % 983 AS oz",
         "CAST(p_size AS BIGINT) * 4 + 20 AS sx", "CAST(p_size AS BIGINT) * 3 + 40 AS sy", "CAST(p_size AS BIGINT) * 2 + 60 AS sz",
     )
 
@@ -40,19 +40,20 @@ def grid_nodes(tiles: DataFrame) -> DataFrame:
 
 
 def voxels(spark: SparkSession, sf_dir: str, side: int = 16) -> DataFrame:
-    """Sparse voxels of four sources: src, c, x, y, z, v. An absent voxel is 0."""
+    """Sparse voxels of four sources: src, c, x, y, z, v. An absent voxel is 0. Tiles of ``side`` voxels lie along x, one for each 16,384 orders."""
     m = side - 1
     return read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice").selectExpr(
-        "shiftright(l_orderkey, 4) & 3 AS src", "l_linenumber % 3 AS c", f"CAST(l_partkey & {m} AS INT) AS x", f"CAST(l_suppkey & {m} AS INT) AS y", f"CAST(l_orderkey & {m} AS INT) AS z",
+        "shiftright(l_orderkey, 4) & 3 AS src", "l_linenumber % 3 AS c", f"CAST((l_partkey & {m}) + shiftright(l_orderkey, 14) * {side} AS INT) AS x", f"CAST(l_suppkey & {m} AS INT) AS y", f"CAST(l_orderkey & {m} AS INT) AS z",
         "CAST(CAST(floor(l_extendedprice) AS BIGINT) & 65535 AS INT) AS v",
     )
 
 
 def node_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """k, job and a three-digit octree path per order."""
+    """k, job, a three-digit octree path, and whether the image there is lit, per order."""
     k = F.col("o_orderkey")
     digit = lambda n: (F.shiftright(k, n).bitwiseAND(7) + 1).cast("string")
-    return read(spark, sf_dir, "orders", "o_orderkey").select(k.alias("k"), (k % 512 + 1).alias("job"), F.concat_ws("/", digit(6), digit(3), digit(0)).alias("path"))
+    rows = read(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    return rows.select(k.alias("k"), (k % 512 + 1).alias("job"), F.concat_ws("/", digit(6), digit(3), digit(0)).alias("path"), (F.col("o_orderstatus") == "F").alias("lit"))
 
 
 # The texts of timed log lines, by the stage group of each.
@@ -65,13 +66,14 @@ CATEGORIES = [*STAGES["leaf"], "overall", "peons", "squatters", "merging", *STAG
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """file, line: timed lines of the stages, warnings and errors, one per event."""
+    """file, line: timed lines of the stages, warnings, errors and faults, one per event."""
     texts = [*STAGES["leaf"], *STAGES["merge"], *STAGES["octree"], "overall"]
     text = F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("event_id") % len(texts) + 1).cast("int"))
     n = F.coalesce("value", F.lit(0.0)).cast("decimal(18,2)").cast("string")
     line = (
         F.when(F.col("event_type") == "error", F.concat(F.lit("[ ERROR: "), text, F.lit(" might have failed")))
         .when((F.col("event_type") == "signup") & (F.col("event_id") % 3 == 0), F.concat(F.lit("[ WARNING: "), text))
+        .when((F.col("event_type") == "view") & (F.col("event_id") % 5 == 0), F.concat(F.lit("Segmentation fault in "), text))
         .otherwise(F.concat(F.lit("[ Info: PEON: "), text, F.lit(" took "), n, F.lit(" sec")))
     )
     events = read(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
