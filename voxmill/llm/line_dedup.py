@@ -52,12 +52,14 @@ def _whole(docs: DataFrame) -> DataFrame:
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, th (hash of the text), n, line of each line that isn't empty."""
     cut = F.transform(F.split("text", "\n"), lambda x: F.trim(x, F.lit(SPACE)))
-    return _whole(docs).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(cut).alias("n", "line")).where("line <> ''")
+    # the text is hashed before it is cut, once and not for each line
+    hashed = _whole(docs).withColumn("th", F.xxhash64("text"))
+    return hashed.select("doc_id", "th", F.posexplode(cut).alias("n", "line")).where("line <> ''")
 
 
 def _piece_keys(line: Column, size: Column, edits: int, per_edit: int) -> Column:
     """(delta, piece) of a line. delta is null for a piece of the line itself; else the line may hold, as a line delta longer, that
-    piece of another. Only keys of the bound that the shorter line has are there."""
+    piece of another. Keys that aren't of the bound that the shorter line has are null."""
     keys = []
     for b in range(1, edits + 1):
         for delta in range(b + 1):
@@ -68,10 +70,11 @@ def _piece_keys(line: Column, size: Column, edits: int, per_edit: int) -> Column
                 piece = lambda shift, start=start, end=end, short=short, b=b, j=j: F.xxhash64(F.lit(b), F.lit(j), short, F.substring(line, start + 1 + shift, end - start))
                 # edits before the first piece count as its own, as do those after the last
                 for shift in [0] if j == 0 else [delta] if j == b else range(-b, b + 1):
-                    inside = (start + shift >= 0) & (end + shift <= size)
+                    # end pieces lie inside by their definition
+                    inside = fits & (start + shift >= 0) & (end + shift <= size) if 0 < j < b else fits
                     own = delta == 0 and shift == 0
-                    keys.append(F.when(fits & inside, F.struct(F.lit(None if own else delta).cast("int").alias("delta"), piece(shift).alias("piece"))))
-    return F.array_compact(F.array(*keys))
+                    keys.append(F.when(inside, F.struct(F.lit(None if own else delta).cast("int").alias("delta"), piece(shift).alias("piece"))))
+    return F.when(size >= per_edit, F.array(*keys))
 
 
 def _deleted(size: int, m: int) -> np.ndarray:
@@ -186,7 +189,7 @@ def _variants(kept: DataFrame, edits: int, per_edit: int) -> DataFrame:
 
 def _partners(distinct: DataFrame) -> DataFrame:
     """(h1, same, shorter, longer): the lines that meet another under a key, and of what length against their own it is."""
-    keys = distinct.where(F.size("keys") > 0).select("h1", F.explode("keys").alias("k")).select("h1", "k.*")
+    keys = distinct.where("keys IS NOT NULL").select("h1", F.explode("keys").alias("k")).where("k IS NOT NULL").select("h1", "k.*")
     own, other = F.col("delta").isNull(), F.col("delta")
     met = keys.groupBy("piece").agg(F.min(F.when(own, F.col("h1"))).alias("a"), F.max(F.when(own, F.col("h1"))).alias("b"), F.min(other).alias("near"), F.max(other).alias("far"))
     # stored, so that the join is of plain rows and adaptive execution can split a hot piece
@@ -227,9 +230,10 @@ def near_lines(docs: DataFrame, distinct: DataFrame, edits: int, per_edit: int,
 
 def lost_lines(docs: DataFrame, edits: int, per_edit: int, slots: int) -> DataFrame:
     """doc_id, th, lost (line numbers), n_near of each document that loses lines."""
-    size = F.char_length("line")
-    keys = _piece_keys(F.col("line"), size, edits, per_edit) if edits else F.array().cast("array<struct<delta:int,piece:bigint>>")
-    hashed = _lines(docs).select("doc_id", "th", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), keys.alias("keys"))
+    keys = _piece_keys(F.col("line"), F.col("size"), edits, per_edit) if edits else F.lit(None).cast("array<struct<delta:int,piece:bigint>>")
+    # a column, so that a line's length is taken once
+    lines = _lines(docs).withColumn("size", F.char_length("line"))
+    hashed = lines.select("doc_id", "th", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), keys.alias("keys"))
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "n", "th")
     distinct = stored(hashed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.first("keys").alias("keys")), "distinct")
     near = stored(near_lines(docs, distinct, edits, per_edit, slots), "near").withColumn("near", F.lit(True))
