@@ -1,0 +1,148 @@
+"""From a tile catalogue and its TIFF stacks to a pyramid of TIFF stacks: plan, overlap, resample, merge, downsample, write."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from voxmill.config import EngineConfig
+from voxmill.functions import geometry as g
+from voxmill.functions.geometry import AXES, BOX
+from voxmill.operators import merge, octree, resample, spatial
+from voxmill.sources import catalog, tiff
+
+BLOCKS = "id long, c int, ix int, iy int, iz int, nx int, ny int, nz int, block binary"
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Origin and shape of the volume in nm, levels below the root, a leaf's pixels, and the voxel in um that follows."""
+
+    origin: tuple[int, int, int]
+    shape: tuple[int, int, int]
+    nlevels: int
+    leaf_px: tuple[int, int, int]
+    voxel_um: tuple[float, float, float]
+
+
+def plan(tiles: DataFrame, config: EngineConfig) -> Plan:
+    """One aggregate over the tiles' boxes, then arithmetic on its row."""
+    box = tiles.agg(*g.aabb_union())
+    row = box.select(*BOX, g.nlevels(g.aabb_volume(), config.voxelsize_um, config.max_pixels_per_leaf).alias("n")).first()
+    origin, shape, n, even = tuple(row[:3]), tuple(row[3:6]), row.n, config.leaf_dim_divisible_by
+    first = [round(s / 1000 / 2**n / v / even) * even for s, v in zip(shape, config.voxelsize_um, strict=True)]
+    best = octree.leaf_shape(tiles.sparkSession.createDataFrame([(1, *first)], "g int, ix int, iy int, iz int"), even).first()
+    if best is None:
+        raise ValueError(f"no leaf shape near {first}")
+    leaf = (best.px, best.py, best.pz)
+    return Plan(origin, shape, n, leaf, tuple(s / 1000 / 2**n / p for s, p in zip(shape, leaf, strict=True)))
+
+
+def transform_text(p: Plan) -> str:
+    """The volume's place and scale as viewers read it."""
+    scale = [v * 1000 * 2**p.nlevels for v in p.voxel_um]
+    lines = [f"o{a}: {o}" for a, o in zip(AXES, p.origin, strict=True)] + [f"s{a}: {s}" for a, s in zip(AXES, scale, strict=True)]
+    return "\n".join([*lines, f"nl: {p.nlevels + 1}"]) + "\n"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the driver's, in any file system that Spark writes."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def assigned(tiles: DataFrame, config: EngineConfig) -> DataFrame:
+    """The tiles of the region of interest: those that hit it and, as a rule, begin in it."""
+    roi = tiles.agg(*g.aabb_union()).select(*g.roi_box(config.roi_origin, config.roi_size))
+    return spatial.in_box(tiles, roi, config.include_origins_outside_roi)
+
+
+def nodes_of(tiles: DataFrame, box: DataFrame, depth: int) -> DataFrame:
+    """(path, level, id) of all nodes that tiles of the catalogue overlap, each sub-tile counted once a tile."""
+    cells = catalog.subtiles(catalog.grid_nodes(tiles)).select("id", *BOX)
+    return octree.descend(cells, box, depth).select("path", "level", "id").distinct()
+
+
+def blocks(files: DataFrame, tiles: DataFrame) -> DataFrame:
+    """BLOCKS: the voxels of each sub-tile, both limits in, of files(path, c, content) of the tiles(id, path, limits). A task holds one stack."""
+    named = files.join(tiles.select("id", F.col("path").alias("tile"), "xlims", "ylims", "zlims"), F.contains("path", F.concat(F.col("tile"), F.lit("/"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in BLOCKS.split(", ")]
+        types = [pa.int64(), *[pa.int32()] * 7, pa.binary()]
+        for b in batches:
+            for r in b.to_pylist():
+                stack = tiff.decode(r["content"]).transpose(0, 2, 1)
+                x, y, z = ([*zip(r[f"{a}lims"], r[f"{a}lims"][1:], strict=False)] for a in AXES)
+                for iz, (z0, z1) in enumerate(z, 1):
+                    cut = [
+                        (r["id"], r["c"], ix, iy, iz, x1 - x0 + 1, y1 - y0 + 1, z1 - z0 + 1, stack[z0 : z1 + 1, y0 : y1 + 1, x0 : x1 + 1].astype("<u2").tobytes())
+                        for iy, (y0, y1) in enumerate(y, 1)
+                        for ix, (x0, x1) in enumerate(x, 1)
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array([c[i] for c in cut], t) for i, t in enumerate(types)], names)
+
+    return named.select("id", "c", "content", "xlims", "ylims", "zlims").mapInArrow(run, BLOCKS)
+
+
+def leaf_voxels(tiles: DataFrame, cut: DataFrame, box: DataFrame, p: Plan, config: EngineConfig) -> DataFrame:
+    """(c, x, y, z, v) of the lit voxels of all leaves, in pixels of the whole volume: resampled and merged by their greatest value."""
+    corners = catalog.corner_nodes(catalog.grid_nodes(tiles)).groupBy("id", "ix", "iy", "iz").agg(F.sort_array(F.collect_list(F.struct("b", *AXES))).alias("cs"))
+    flat = F.flatten(F.transform("cs", lambda c: F.array(c["x"], c["y"], c["z"])))
+    cells = catalog.subtiles(catalog.grid_nodes(tiles)).join(corners.select("id", "ix", "iy", "iz", flat.alias("corners")), ["id", "ix", "iy", "iz"])
+    tile = F.struct("id", "ix", "iy", "iz", "corners", "orientation")
+    hits = octree.descend(cells.select(tile.alias("id"), *BOX), box, p.nlevels, leaves_only=True)
+    pairs = hits.select("id.*", "path", *BOX).join(cut, ["id", "ix", "iy", "iz"])
+    lit = resample.resample(pairs, config.interpolation, p.leaf_px, keep=("path", "c"))
+    digits = F.replace("path", F.lit("/"), F.lit(""))
+    at = [(g.cell_of_path(digits, i) * p.leaf_px[i] + F.col(a)).alias(a) for i, a in enumerate(AXES)]
+    return merge.max_merge(lit.select("c", *at, "v"))
+
+
+def save_nodes(pyramid: DataFrame, nodes: DataFrame, p: Plan, channels: int, out: str) -> None:
+    """One TIFF stack per node and channel, those without a lit voxel as well; a group is one node's pixels."""
+    side = dict(zip(AXES, p.leaf_px, strict=True))
+    digit = lambda k: F.lit(1) + sum(F.shiftright(F.floor(F.col(a) / side[a]).cast("int"), k).bitwiseAND(1) * 2**i for i, a in enumerate(AXES))
+    parts = []
+    for level in range(p.nlevels + 1):
+        path = F.concat_ws("/", F.lit("."), *[digit(k).cast("string") for k in reversed(range(level))], F.lit("default"))
+        parts.append(pyramid.where(F.col("level") == level).select(path.alias("path"), "c", *[(F.col(a) % side[a]).cast("int").alias(a) for a in AXES], "v"))
+    lit = parts[0]
+    for part in parts[1:]:
+        lit = lit.unionByName(part)
+    # a voxel of 0 for each node, so that every node has its file
+    path = F.concat_ws("/", F.lit("."), F.when(F.col("path") != "", F.col("path")), F.lit("default"))
+    zero = [F.lit(0).alias(a) for a in (*AXES, "v")]
+    every = nodes.select("path").distinct().select(path.alias("path"), F.explode(F.sequence(F.lit(0), F.lit(channels - 1))).alias("c"), *zero)
+    tiff.save_tiles(lit.unionByName(every), out, p.leaf_px)
+
+
+def render(spark: SparkSession, config: EngineConfig, catalogue: str, tiles_folder: str, out: str) -> Plan:
+    """Write the octree of a catalogue below ``out``, a folder that all executors share, with its plan, jobs and transform.
+
+    Node images are at ``<digit>/<digit>/default.<channel>.tif``. Tiles that break a rule of the grid stop the job.
+    """
+    tiles = catalog.read_yaml(spark, catalogue)
+    broken = tiles.select("path", catalog.violations().alias("broken")).where(F.size("broken") > 0).limit(5).collect()
+    broken += catalog.shared_violations(tiles).where("broken").collect()  # a row per rule
+    if broken:
+        raise ValueError(f"the catalogue breaks rules: {broken}")
+    p = plan(tiles, config)
+    box = spark.createDataFrame([(*p.origin, *p.shape)], ", ".join(f"{c} long" for c in BOX))
+    own = assigned(tiles, config)
+    spatial.in_descending_order(spatial.kd_jobs(own, box, config.max_tilechannels_per_job // config.nchannels)).write.mode("overwrite").parquet(f"{out}/jobs.parquet")
+    nodes = nodes_of(own, box, p.nlevels).checkpoint()
+    voxels = leaf_voxels(own, blocks(tiff.files_of(spark, tiles_folder), own), box, p, config).checkpoint()
+    save_nodes(merge.pyramid(voxels, p.nlevels, config.downsampling), nodes, p, config.nchannels, out)
+    write_text(spark, f"{out}/calculated_parameters.json", json.dumps(asdict(config) | asdict(p), indent=1))
+    write_text(spark, f"{out}/transform.txt", transform_text(p))
+    return p

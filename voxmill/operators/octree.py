@@ -32,7 +32,7 @@ def levels(box: DataFrame, depth: int) -> list[DataFrame]:
 
 
 def descend(tiles: DataFrame, box: DataFrame, depth: int, leaves_only: bool = False) -> DataFrame:
-    """(path, level, id) of each node and tile that overlap, going down only where they do; no join below the root."""
+    """(path, level, id) of each node and tile that overlap, with the node's box; it goes down only where they do, and joins at the root alone."""
     pairs = tiles.alias("t").join(F.broadcast(root(box).alias("n")), aabb_hit("t", "n"))
     keep = ["path", "level", "morton", *BOX]
     found = [pairs.select("t.id", *[F.col(f"t.{c}").alias(f"t{c}") for c in BOX], *[F.col(f"n.{c}") for c in keep])]

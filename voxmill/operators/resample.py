@@ -36,10 +36,10 @@ def unit_positions(corners: np.ndarray, points: np.ndarray, orientation: int, ep
 
 
 def sampled(block: np.ndarray, t: np.ndarray, mode: str) -> np.ndarray:
-    """Values of block[x, y, z] at unit positions, nearest or linear."""
+    """Values of block[x, y, z] at unit positions, nearest (the lower of two as near) or linear."""
     n = np.array(block.shape)
     if mode == "nearest":
-        i = np.minimum(np.floor(t * n + 1e-9), n - 1).astype(int)
+        i = np.maximum(np.ceil(t * n - 1e-9) - 1, 0).astype(int)
         return block[tuple(i.T)].astype(float)
     at = np.clip(t * n - 0.5, 0, n - 1)
     low = np.minimum(np.floor(at), np.maximum(n - 2, 0)).astype(int)

@@ -177,7 +177,7 @@ SELECT node, seq, rx, (rx - lag(rx) OVER (PARTITION BY node ORDER BY seq)) // 60
     "incomplete_outputs": _with(_VOXELS) + "SELECT x, y, z, count(DISTINCT src) AS ready, max(v % 5)::BIGINT AS expected FROM voxels GROUP BY ALL HAVING expected > 1 AND expected <> ready",
     "resample_nearest": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, "g AS (SELECT unnest(generate_series(0, 7))::INT AS i)",
         "bricks AS (SELECT l_partkey AS id, (l_suppkey & 3) AS kx, (l_orderkey & 3) AS ky, (l_linenumber & 3) AS kz, max((floor(l_extendedprice)::BIGINT & 65535)::INT) AS v FROM lineitem GROUP BY ALL)",
-        *[f"""on{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, least(3, floor(((b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x}) * 4 + 1e-9::DOUBLE))::INT AS k{x}
+        *[f"""on{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, greatest(0, ceil(((b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x}) * 4 - 1e-9::DOUBLE) - 1)::INT AS k{x}
   FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} BETWEEN 0 AND 1)""" for x in "xyz"], recursive=True)
     + "SELECT path, x, y, z, max(v) AS v FROM onx JOIN ony USING (path, id, ix, iy, iz) JOIN onz USING (path, id, ix, iy, iz) JOIN bricks USING (id, kx, ky, kz) WHERE v > 0 GROUP BY ALL",
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +13,25 @@ SCHEMA = (
 )
 
 
+def _modified(spark: SparkSession, path: str) -> float:
+    """When a path last changed, in seconds; 0 if there is none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(place).getModificationTime() / 1000 if fs.exists(place) else 0.0
+
+
 def read_yaml(spark: SparkSession, path: str, cache: str | None = None) -> DataFrame:
-    """The tiles of a catalogue, ids from 1; a Parquet copy at ``cache`` that is newer than the YAML is read instead."""
+    """The tiles of a catalogue, ids from 1; a Parquet copy at ``cache`` that is newer than the YAML is read instead.
+
+    Both are read through Spark, from any file system that it reads.
+    """
     import yaml
 
-    if cache and os.path.exists(cache) and os.path.getmtime(cache) > os.path.getmtime(path):
+    file = spark.read.format("binaryFile").load(path)
+    if cache and _modified(spark, cache) > file.select("modificationTime").first()[0].timestamp():
         return spark.read.parquet(cache)
-    with open(path) as f:
-        tiles = yaml.load(f, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))["tiles"]
+    # one file, which the driver reads whole: a row per tile
+    tiles = yaml.load(bytes(file.select("content").first()[0]), Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))["tiles"]
     rows = [
         (i, t["path"], *t["aabb"]["ori"], *t["aabb"]["shape"], t["shape"]["type"], t["shape"]["dims"], t["grid"]["xlims"], t["grid"]["ylims"], t["grid"]["zlims"], t["grid"]["coordinates"])
         for i, t in enumerate(tiles, 1)

@@ -82,11 +82,16 @@ def encoded(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     return voxels.groupBy("path", "c").applyInPandas(stack_of, "path string, c int, content binary")
 
 
-def load_tiles(spark: SparkSession, folder: str) -> DataFrame:
-    """VOXELS of all ``<name>.<channel>.tif`` files below a folder."""
+def files_of(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, c, content) of all ``<name>.<channel>.tif`` files below a folder; the path without its ending."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[0-9].tif").load(folder)
     name = F.regexp_replace("path", r"\.[0-9]\.tif$", "")
-    return decoded(files.select(name.alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"), "content"))
+    return files.select(name.alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"), "content")
+
+
+def load_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """VOXELS of all such files."""
+    return decoded(files_of(spark, folder))
 
 
 def save_tiles(voxels: DataFrame, folder: str, shape: tuple[int, int, int]) -> None:
