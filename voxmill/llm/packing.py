@@ -29,6 +29,7 @@ END_ID = 1
 K1, B = 1.2, 0.75
 #: A term that more than one in so many documents of an index has is a column of its matrix.
 DENSE = 8
+SHARDS_A_TASK = 4
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -233,6 +234,8 @@ def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 20, vocab
         return sketch_key(ids, costs), len(ids)
 
     first, spread = shard_plan(_per_token(coded, size, key_load), shard_tokens)
+    # a few shards a task, whatever the corpus
+    tasks = int(-(-(first + spread).max(initial=1) // SHARDS_A_TASK))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -253,4 +256,4 @@ def pack(docs: DataFrame, window: int = 2048, shard_tokens: int = 1 << 20, vocab
         names = [x.split()[0] for x in PIECES.split(", ")]
         return pa.table({n: pa.array([r[k] for r in out], pa.int64()) for k, n in enumerate(names)})
 
-    return coded.mapInArrow(placed, "shard long, doc_id long, ids binary").groupBy("shard").applyInArrow(packed, PIECES)
+    return coded.mapInArrow(placed, "shard long, doc_id long, ids binary").repartition(tasks, "shard").groupBy("shard").applyInArrow(packed, PIECES)
