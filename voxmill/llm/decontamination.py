@@ -9,7 +9,7 @@ votes as the known ones of its window do on average. The items' fingerprints are
 flips, so that any fingerprint within the radius agrees in one block at least. Candidates within the
 radius are then checked by weighted Jaccard similarity of their shingles.
 
-The benchmark is taken in blocks of at most ``block_items`` items, so what a task holds of it is
+The benchmark is taken in blocks of about ``block_items`` items or ``block_bytes`` bytes, so what a task holds of it is
 bounded whatever its size. Texts are scanned once per block and never shuffled.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm import shingles as sh
-from voxmill.llm.common import numbered, pick, small_batches, stored, text_or_empty
+from voxmill.llm.common import numbered, pick, ranges_of, small_batches, stored, text_or_empty
 
 BITS, BLOCKS = 64, 8
 RADIUS = 22
@@ -185,7 +185,7 @@ def matches(text: str, items: Items, threshold: float) -> list[tuple[int, float,
     return [(items.ids[i], -v, s, span, d) for i, (v, s, span, d) in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8, radius: int = RADIUS, block_items: int = 20_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8, radius: int = RADIUS, block_items: int = 20_000, block_bytes: int = 8 << 20) -> DataFrame:
     """HITS: each pair of a row of docs(doc_id, text) and an item of benchmark(item_id, text) with a window of
     the item's size in words whose shingles reach ``threshold``, with the best (then first) such window.
 
@@ -194,14 +194,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: f
     """
     spark = docs.sparkSession
     small_batches(spark)
-    n_items = benchmark.count()
-    numbered = pick(benchmark, "item_id", "text").withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-n_items // block_items)))))
+    n_items, n_bytes = pick(benchmark, "text").agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n_items // block_items), -(-n_bytes // block_bytes))
+    dealt = pick(benchmark, "item_id", "text").withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     whole = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     n_docs = docs.count()
     out = None
-    for block in range(max(1, -(-n_items // block_items))):
-        # one block: a bounded part of the benchmark
-        items = Items([(r.item_id, r.text) for r in numbered.where(F.col("block") == block).orderBy("item_id", "text").collect()], k)
+    for block in range(blocks):
+        # one block: a part of the benchmark that is bounded in items and in bytes
+        items = Items([(r.item_id, r.text) for r in dealt.where(F.col("block") == block).orderBy("item_id", "text").collect()], k)
         hits = _hits(whole, items, n_docs, threshold, radius)
         out = hits if out is None else out.unionByName(hits)
     return out
@@ -247,7 +248,8 @@ def _hits(whole: DataFrame, items: Items, n_docs: int, threshold: float, radius:
             out = [(d, *m) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) for m in matches(t, items, threshold)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
 
-    return rows.select("doc_id", "text").mapInArrow(windows, HITS)
+    # a few files may hold most of the touched texts, so they are dealt anew, by their text
+    return rows.select("doc_id", "text").repartition(ranges_of(whole.sparkSession), F.xxhash64("doc_id", "text")).mapInArrow(windows, HITS)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
