@@ -59,7 +59,7 @@ def _hashed(docs: DataFrame, digests: bool, slots: int, *more: str) -> DataFrame
 
 
 def _order(*more: Column) -> Column:
-    return F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("minus_id"), *more)
+    return F.struct(F.col("points"), F.col("doc_id").isNotNull().alias("known"), F.bitwise_not(F.col("doc_id")).alias("id_down"), *more)
 
 
 def exact_dedup(docs: DataFrame, digests: bool = False, slots: int = 1 << 18) -> DataFrame:
@@ -75,7 +75,7 @@ def exact_dedup(docs: DataFrame, digests: bool = False, slots: int = 1 << 18) ->
     groups = stored(
         hashed.where("live").groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(_order()).alias("best"))
         .where("group_size > 1")
-        .select("text_sha256", "group_size", (-F.col("best.minus_id")).alias("keep_id")),
+        .select("text_sha256", "group_size", F.bitwise_not(F.col("best.id_down")).alias("keep_id")),
         "groups",
     )
     joined = hashed.join(groups, "text_sha256", "left")

@@ -143,7 +143,10 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16, ranges: int = 102
     Texts are scanned twice and shuffled twice: by range to be placed, and to the writer of their file.
     """
     split = splitters(stored(pick(docs, "doc_id", "text").select(*_slim()), "slim"), ranges)
+    folder = "_shard"
+    while folder in [c.lower() for c in docs.columns]:
+        folder += "_"
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"], docs["text"]).select("row", "doc_id", *_slim())
     placed = shard(rows, shards, ranges, split=split)
-    flat = placed.select("row", F.col("shard").alias("_shard"), "slot", "range").repartition("_shard", "range").sortWithinPartitions("_shard", "slot")
-    flat.select("row.*", "_shard").write.partitionBy("_shard").parquet(path)
+    flat = placed.select("row", F.col("shard").alias(folder), "slot", "range").repartition(folder, "range").sortWithinPartitions(folder, "slot")
+    flat.select("row.*", folder).write.partitionBy(folder).parquet(path)
