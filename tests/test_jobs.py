@@ -66,6 +66,19 @@ def test_root_shows_the_cube(rendered):
     assert root.max() == 0xFFFF and set(np.unique(root)) == {0, 0xFFFF}
 
 
+def test_upper_levels_from_leaf_images(rendered, spark):
+    folder, p = rendered
+    listed = tiff.listing(spark, f"{folder}/out")
+    assert {r.level: r["count"] for r in listed.groupBy("level").count().collect()} == {0: 1, 1: 8, 2: 64}
+    assert tiff.listing(spark, f"{folder}/out", 1).select("path").distinct().count() == 8
+    names = [f"{folder}/out/default.0.tif", f"{folder}/out/5/default.0.tif"]
+    before = [open(n, "rb").read() for n in names]
+    for n in names:
+        os.remove(n)
+    render.rerender(spark, EngineConfig(), p, f"{folder}/out")
+    assert [open(n, "rb").read() for n in names] == before
+
+
 def test_a_projection_of_the_leaves(rendered, spark):
     folder, p = rendered
     rows = [(c, x, y, z, v >> c) for c in range(2) for x, y, z, v in ((3, 5, 1, 65535), (3, 5, 2, 9), (90, 40, 7, 40000))]

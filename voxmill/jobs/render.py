@@ -126,6 +126,18 @@ def save_nodes(pyramid: DataFrame, nodes: DataFrame, p: Plan, channels: int, out
     tiff.save_tiles(lit.unionByName(every), out, p.leaf_px)
 
 
+def rerender(spark: SparkSession, config: EngineConfig, p: Plan, out: str) -> None:
+    """Write the levels above the leaves of an octree anew from its leaf images: a scan of one level's files."""
+    leaves = tiff.decoded(tiff.files_of(spark, "/".join([out, *["[1-8]"] * p.nlevels, "default.[0-9].tif"])))
+    digits = F.replace(F.regexp_extract("path", r"((?:/[1-8])*)/default$", 1), F.lit("/"), F.lit(""))
+    voxels = leaves.select("c", *[(g.cell_of_path(digits, i) * p.leaf_px[i] + F.col(a)).cast("int").alias(a) for i, a in enumerate(AXES)], "v").checkpoint()
+    there = tiff.listing(spark, out, p.nlevels).select("path")
+    # the ancestors of the leaves that are there
+    above = there.select(F.explode(F.sequence(F.lit(0), F.lit(p.nlevels - 1))).alias("level"), "path").select(F.array_join(F.slice(F.split("path", "/"), F.lit(1), F.col("level")), "/").alias("path"), "level")
+    upper = merge.pyramid(voxels, p.nlevels, config.downsampling).where(F.col("level") < p.nlevels)
+    save_nodes(upper, above.distinct(), p, config.nchannels, out)
+
+
 def render(spark: SparkSession, config: EngineConfig, catalogue: str, tiles_folder: str, out: str) -> Plan:
     """Write the octree of a catalogue below ``out``, a folder that all executors share, with its plan, jobs and transform.
 

@@ -56,7 +56,7 @@ def gaussian(image: DataFrame, width: int, height: int, new_width: int, new_heig
         reach = int(4 * sigma + 0.5)
         # the blurred samples that a linear resample of this axis reads, with their shares
         targets = image.sparkSession.range(m).select(F.col("id").cast("int").alias("t"), F.least(F.greatest((F.col("id") + 0.5) * ratio - 0.5, F.lit(0.0)), F.lit(n - 1.0)).alias("at"))
-        ends = targets.select("t", F.explode(F.array(F.struct(F.floor("at").cast("int").alias("i"), (1 - (F.col("at") - F.floor("at"))).alias("w")), F.struct(F.least(F.floor("at") + 1, F.lit(n - 1)).cast("int").alias("i"), (F.col("at") - F.floor("at")).alias("w")))).alias("e")).select("t", "e.*")
+        ends = targets.select("t", F.explode(F.array(F.struct(F.floor("at").cast("int").alias("i"), (1 - (F.col("at") - F.floor("at"))).alias("w")), F.struct(F.least(F.floor("at") + 1, F.lit(n - 1)).cast("int").alias("i"), (F.col("at") - F.floor("at")).alias("w")))).alias("e")).select("t", "e.*").where("w > 0")
         taps = ends.select("t", "i", "w", F.explode(F.sequence(F.greatest(F.lit(0), F.col("i") - reach), F.least(F.lit(n - 1), F.col("i") + reach))).alias(a))
         taps = taps.withColumn("g", F.exp(-F.pow((F.col(a) - F.col("i")) / sigma, 2) / 2))
         total = taps.groupBy("t", "i").agg(F.sum("g").alias("all"))

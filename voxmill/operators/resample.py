@@ -59,12 +59,12 @@ def leaf_points(corners: np.ndarray, pixels: tuple[int, int, int]) -> np.ndarray
 
 
 def covered(corners: np.ndarray, box: np.ndarray, pixels: tuple[int, int, int], orientation: int, block: np.ndarray, mode: str, eps: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
-    """(pixels, values) of a leaf of box (origin, shape) that a sub-tile covers."""
+    """(pixels, values) of a leaf of box (origin, shape) that a sub-tile covers; halves are rounded up, whatever the last bits of their sums."""
     at = (corners - box[:3]) / (box[3:] / np.array(pixels))
     near = leaf_points(at, pixels)
     t = unit_positions(at, near + 0.5, orientation, eps)
     ok = ~np.isnan(t[:, 0])
-    return near[ok], np.rint(sampled(block, t[ok], mode)).astype(np.int32)
+    return near[ok], np.floor(sampled(block, t[ok], mode) + 0.5 + 1e-6).astype(np.int32)
 
 
 def resample(pairs: DataFrame, mode: str = "nearest", pixels: tuple[int, int, int] = (8, 8, 8), keep: tuple[str, ...] = ("path",)) -> DataFrame:

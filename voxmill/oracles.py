@@ -180,4 +180,19 @@ SELECT node, seq, rx, (rx - lag(rx) OVER (PARTITION BY node ORDER BY seq)) // 60
         *[f"""on{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, greatest(0, ceil(((b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x}) * 4 - 1e-9::DOUBLE) - 1)::INT AS k{x}
   FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} BETWEEN 0 AND 1)""" for x in "xyz"], recursive=True)
     + "SELECT path, x, y, z, max(v) AS v FROM onx JOIN ony USING (path, id, ix, iy, iz) JOIN onz USING (path, id, ix, iy, iz) JOIN bricks USING (id, kx, ky, kz) WHERE v > 0 GROUP BY ALL",
+    "resample_linear": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, "g AS (SELECT unnest(generate_series(0, 7))::INT AS i)",
+        "bricks AS (SELECT l_partkey AS id, (l_suppkey & 3) AS kx, (l_orderkey & 3) AS ky, (l_linenumber & 3) AS kz, max((floor(l_extendedprice)::BIGINT & 65535)::INT) AS v FROM lineitem GROUP BY ALL)",
+        *[f"""at{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, least(3, greatest(0, (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} * 4 - 0.5::DOUBLE)) AS pos
+  FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} BETWEEN 0 AND 1),
+on{x} AS (SELECT * EXCLUDE (pos), least(2, floor(pos))::INT AS k{x}, 1 - (pos - least(2, floor(pos))) AS w{x} FROM at{x} UNION ALL SELECT * EXCLUDE (pos), least(2, floor(pos))::INT + 1, pos - least(2, floor(pos)) FROM at{x})""" for x in "xyz"], recursive=True)
+    + """SELECT path, x, y, z, max(v) AS v FROM (SELECT path, id, ix, iy, iz, x, y, z, floor(sum(wx * wy * wz * v) + 0.5 + 1e-6::DOUBLE)::INT AS v
+  FROM onx JOIN ony USING (path, id, ix, iy, iz) JOIN onz USING (path, id, ix, iy, iz) JOIN bricks USING (id, kx, ky, kz) GROUP BY ALL) WHERE v > 0 GROUP BY ALL""",
+    "gaussian_downsample": _with(_VOXELS, _MERGED, "image AS (SELECT x, y, max(v)::DOUBLE AS p FROM merged WHERE c = 0 AND z BETWEEN 2 AND 13 GROUP BY ALL)",
+        "size AS (SELECT 16 * (coalesce(max(x >> 4), 0) + 1) AS n FROM image)",
+        *[f"""at{x} AS (SELECT t, n, least(greatest((t + 0.5::DOUBLE) * {r} - 0.5, 0), n - 1) AS pos FROM (SELECT {n} AS n, unnest(generate_series(0, ({m} - 1)::BIGINT)) AS t FROM size)),
+end{x} AS (SELECT t, n, floor(pos)::INT AS i, 1 - (pos - floor(pos)) AS w FROM at{x} UNION ALL SELECT t, n, least(floor(pos) + 1, n - 1)::INT, pos - floor(pos) FROM at{x} WHERE pos > floor(pos)),
+tap{x} AS (SELECT t, i, w, a, exp(-((a - i) / {s}) * ((a - i) / {s}) / 2) AS g FROM (SELECT t, i, w, unnest(generate_series(greatest(0, i - {k}), least(n - 1, i + {k}))) AS a FROM end{x})),
+w{x} AS (SELECT t, a, sum(w * g / total) AS w FROM (SELECT *, sum(g) OVER (PARTITION BY t, i) AS total FROM tap{x}) GROUP BY ALL)""" for x, n, m, r, s, k in (("x", "n", "n * 6 // 16", "(16 / 6::DOUBLE)", "(0.75::DOUBLE * 16 / 6)", 8), ("y", "16", "5", "(16 / 5::DOUBLE)", "(0.75::DOUBLE * 16 / 5)", 10))],
+        "across AS (SELECT wx.t AS x, image.y, sum(p * w) AS p FROM image JOIN wx ON wx.a = image.x GROUP BY ALL)")
+    + "SELECT x::INT AS x, wy.t::INT AS y, round_even(sum(p * w), 0)::INT AS p FROM across JOIN wy ON wy.a = across.y GROUP BY ALL",
 }

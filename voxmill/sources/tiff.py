@@ -82,6 +82,18 @@ def encoded(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     return voxels.groupBy("path", "c").applyInPandas(stack_of, "path string, c int, content binary")
 
 
+def listing(spark: SparkSession, folder: str, level: int | None = None) -> DataFrame:
+    """(path, level, c) of the images of an octree below a folder, of one level if it is given: names alone, no content is read.
+
+    A node's path is its digits, joined by slashes; its images are ``default.<channel>.tif`` in the folder of that path.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "default.[0-9].tif")
+    files = files.option("recursiveFileLookup", "true").load(folder) if level is None else files.load("/".join([folder, *["[1-8]"] * level, "default.[0-9].tif"]))
+    node = F.regexp_extract("path", r"((?:/[1-8])*)/default\.[0-9]\.tif$", 1)
+    named = files.select(F.regexp_replace(node, "^/", "").alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"))
+    return named.select("path", F.when(F.col("path") == "", 0).otherwise(F.size(F.split("path", "/"))).alias("level"), "c")
+
+
 def files_of(spark: SparkSession, folder: str) -> DataFrame:
     """(path, c, content) of all ``<name>.<channel>.tif`` files below a folder; the path without its ending."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[0-9].tif").load(folder)
