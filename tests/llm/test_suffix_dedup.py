@@ -39,7 +39,7 @@ def check(df, rows, length, **how):
 @pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
 def test_whole_table_equals_brute_force(spark, size):
     docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
-    check(docs, [tuple(r) for r in docs.collect()], 200, **({"bucket": 20} if size == "sf0.001" else {}))
+    check(docs, [tuple(r) for r in docs.collect()], 200, **({"bucket": 20, "crowd": 20} if size == "sf0.001" else {}))
 
 
 @pytest.mark.parametrize("bucket", [1, 3, 4096])
@@ -52,7 +52,7 @@ def test_shared_passages_at_the_bound(spark, bucket):
         rows.append((i, "".join(parts)))
     rows += [(100, "z" * 39), (101, "z" * 40), (102, "z" * 41), (103, "yx" * 60), (104, None), (105, ""), (None, passages[4]), (None, passages[4]), (106, word(30) * 9)]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, rk string, lo int")
-    want = check(docs, rows, 40, k=16, bucket=bucket, slots=16)
+    want = check(docs, rows, 40, k=16, bucket=bucket, crowd=bucket, slots=16)
     assert sum(w[1] > 0 for v in want.values() for w in v) > 40
     assert sd.remove_repeats(docs.limit(0)).count() == 0
 

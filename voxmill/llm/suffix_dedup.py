@@ -11,7 +11,7 @@ their longest common extension, which a binary search over prefix polynomial has
 steps, and then by one byte. Neighbours that agree over the whole window are verified byte by byte. A class of two rows or
 more is repeated throughout and serves the sort for what others share with it; an anchor of one class needs no sort.
 
-A bucket holds about ``bucket`` runs. Where an anchor has more classes than that, its windows are dealt by all
+A bucket holds about ``bucket`` runs. Where an anchor has more than ``crowd`` classes, its windows are dealt by all
 their bytes instead: they become runs of one window, which go the same way by classes, so nothing unbounded
 meets in a task.
 """
@@ -35,6 +35,8 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 ANCHORS = "rk long, lo int, n int, rel int, h long, f long, g long"
 #: Bytes of runs in a batch that a task sends on.
 SEND = 4 << 20
+#: Windows that are sorted at once, but for a larger cell.
+BLOCK = 1 << 15
 _SECOND = np.random.Generator(np.random.PCG64(7919)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _FIRST = np.random.Generator(np.random.PCG64(104729)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LOW = np.uint64((1 << 32) - 1)
@@ -164,7 +166,12 @@ def repeated_windows(runs: list[bytes], h: np.ndarray, rel: np.ndarray, length:
     cell_h, cell_o = h[owner][order], offset[order]
     cell = np.cumsum(np.append(0, (cell_h[1:] != cell_h[:-1]) | (cell_o[1:] != cell_o[:-1])))
     s = Suffixes(np.frombuffer(b"".join(runs), np.uint8), length)
-    ranked = s.sort(starts[order], cell)
+    # whole cells at a time, so that what a sort touches stays near
+    starts = starts[order]
+    begins_at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    at = np.searchsorted(begins_at, np.arange(0, len(cell), BLOCK))
+    cuts = np.unique(np.append(begins_at[at[at < len(begins_at)]], len(cell)))
+    ranked = np.concatenate([s.sort(starts[a:b], cell[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
     pair = np.flatnonzero(cell[1:] == cell[:-1])
     pair = pair[s.common(ranked[pair], ranked[pair + 1]) >= length]
     true = s.equal(ranked[pair], ranked[pair + 1])
@@ -250,7 +257,7 @@ def sorted_runs(whole: DataFrame, classes: DataFrame, length: int, bucket: int,
     return stored(_sent(_with_runs(whole, rows, slots), columns, bring).groupBy("bucket").applyInArrow(sort_bucket, "rk long, s int, e int, h long, f long, g long"), "sorted")
 
 
-def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, slots: int) -> DataFrame:
+def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, crowd: int, slots: int) -> DataFrame:
     """(rk, s, e): byte spans of texts that repeated windows cover, in pieces."""
     rows = anchors(whole, length, k)
     # stored, so that the join is of plain rows and adaptive execution can split a hot anchor
@@ -259,7 +266,7 @@ def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, slots: int
     place, name = F.struct("rk", "lo", "n", "rel"), ["h", "f", "g"]
     ends = [F.count("*").alias("c"), F.min(place).alias("first"), F.max(place).alias("last")]
     classes = stored(shared.groupBy(*name).agg(*ends), "classes")
-    hot = stored(classes.groupBy("h").agg(F.count("*").alias("classes")).where(F.col("classes") > bucket).select("h", F.lit(True).alias("hot")), "hot")
+    hot = stored(classes.groupBy("h").agg(F.count("*").alias("classes")).where(F.col("classes") > crowd).select("h", F.lit(True).alias("hot")), "hot")
     marked = classes.join(hot, "h", "left")
     # the rows of one class lie in one cell; where an anchor isn't hot, so do all of its classes
     cell = F.when(F.col("hot"), F.xxhash64(*name)).otherwise(F.col("h"))
@@ -287,7 +294,7 @@ def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, slots: int
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int = 4096, slots: int = 1 << 18) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int = 512, crowd: int = 4096, slots: int = 1 << 18) -> DataFrame:
     """RESULT for each row of docs(doc_id, text), with the bytes that stay as ``kept``.
 
     Every byte goes that lies in a string of ``length`` bytes which also starts anywhere else, in the same text or another;
@@ -296,7 +303,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int
     """
     small_batches(docs.sparkSession)
     whole = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("rk", _key())
-    spans = covered_spans(whole, length, k, bucket, slots).groupBy("rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    spans = covered_spans(whole, length, k, bucket, crowd, slots).groupBy("rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     joined = whole.join(spans, "rk", "left").select("doc_id", "text", "spans")
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
