@@ -72,32 +72,45 @@ def in_box(tiles: DataFrame, box: DataFrame, outside: bool = False) -> DataFrame
     return tiles.alias("t").join(F.broadcast(box.alias("r")), rule).select("t.*")
 
 
-def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64) -> DataFrame:
+def _half_of_tile(held: DataFrame, kept: list[str]) -> DataFrame:
+    """The box columns become the half of the box, along its longest axis, that a tile (tx, ty, tz) begins in; null where the box has side 1."""
+    low, upper = halved(F.lit(False)), F.lit(False)
+    for x in AXES:
+        # a half differs from its box on one axis, where the upper one begins after the lower
+        upper = upper | ((low[f"s{x}"] < F.col(f"s{x}")) & (F.col(f"t{x}") >= F.col(f"o{x}") + low[f"s{x}"]))
+    split, half = held.withColumn("upper", upper), halved(F.col("upper"))
+    alive = F.greatest(*[f"s{x}" for x in AXES]) > 1
+    return split.select(*[f"t{x}" for x in AXES], *kept, *[F.when(alive, half[c]).cast("long").alias(c) for c in BOX])
+
+
+def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64, steps: int = 4) -> DataFrame:
     """Boxes with at most ``most`` tile origins each (or of side 1), and their counts; empty ones are left out.
 
-    A round halves every overfull box along its longest axis and moves its tiles to the halves; each tile is in one box,
-    so a round is one aggregation with partial sums. Tiles of finished boxes drop out.
+    A round halves every overfull box ``steps`` times along its longest axis and counts the tiles of all of these halves in one
+    aggregation with partial sums, as each tile is in one box of each step. Tiles of finished boxes drop out.
     """
     held = tiles.alias("t").join(F.broadcast(root.alias("r")), aabb_hit("t", "r") & aabb_contains_origin("r", "t"))
-    held = held.select(*[F.col(f"t.o{x}").alias(f"t{x}") for x in AXES], *[F.col(f"r.{c}") for c in BOX])
-    done = None
+    held = held.select(*[F.col(f"t.o{x}").alias(f"t{x}") for x in AXES], *[F.col(f"r.{c}").cast("long").alias(c) for c in BOX]).checkpoint()
+    full = (F.col("ntiles") > most) & (F.greatest("sx", "sy", "sz") > 1)
+    counted = held.groupBy(*BOX).agg(F.count("*").alias("ntiles")).withColumn("full", full).checkpoint()
+    done = counted.where("NOT full").drop("full")
     for _ in range(rounds):
-        counted = held.groupBy(*BOX).agg(F.count("*").alias("ntiles"))
-        full = (F.col("ntiles") > most) & (F.greatest("sx", "sy", "sz") > 1)
-        counted = counted.withColumn("full", full).checkpoint()
-        ready = counted.where("NOT full").drop("full")
-        done = ready if done is None else done.unionByName(ready)
         if not counted.where("full").limit(1).count():
             return done
-        split = held.join(counted.where("full").select(*BOX), BOX)
-        low = halved(F.lit(False))
-        upper = F.lit(False)
-        for x in AXES:
-            # a half differs from its box on one axis, where the upper one begins after the lower
-            upper = upper | ((low[f"s{x}"] < F.col(f"s{x}")) & (F.col(f"t{x}") >= F.col(f"o{x}") + low[f"s{x}"]))
-        split = split.withColumn("upper", upper)
-        half = halved(F.col("upper"))
-        held = split.select(*[f"t{x}" for x in AXES], *[half[c].alias(c) for c in BOX]).checkpoint()
+        held = held.join(counted.where("full").select(*BOX), BOX)
+        names = [f"b{j}" for j in range(steps + 1)]
+        for j in range(steps):
+            held = _half_of_tile(held.withColumn(names[j], F.struct(*BOX)), names[: j + 1])
+        held = held.withColumn(names[steps], F.struct(*BOX)).checkpoint()
+        each = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col(names[j]).alias("box"), F.col(names[j - 1]).alias("parent")) for j in range(1, steps + 1)]))
+        boxes = held.select(each.alias("e")).where("e.box.sx IS NOT NULL").groupBy("e.j", "e.box", "e.parent").agg(F.count("*").alias("ntiles"))
+        boxes = boxes.select("j", "parent", "box.*", "ntiles").withColumn("full", full).checkpoint()
+        above = boxes.where("full").select((F.col("j") + 1).alias("j"), F.struct(*BOX).alias("parent"))
+        ready = boxes.where("NOT full")
+        # what an overfull box was cut into; the halves of a finished one are no jobs
+        done = done.unionByName(ready.where("j = 1").select(*BOX, "ntiles")).unionByName(ready.join(above, ["j", "parent"], "left_semi").select(*BOX, "ntiles"))
+        counted = boxes.where(F.col("j") == steps)
+        held = held.select(*[f"t{x}" for x in AXES], *BOX).where("sx IS NOT NULL")
     raise RuntimeError("boxes did not shrink")
 
 
