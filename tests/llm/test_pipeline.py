@@ -64,3 +64,15 @@ def test_clashing_columns_and_nulls(spark, tmp_path):
         docs = kept
     assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "4", "None"]
     assert p.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 3
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from voxmill.llm.common import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default)))
