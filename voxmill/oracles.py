@@ -16,7 +16,7 @@ _HIT = """a.ox < b.ox + b.sx AND b.ox < a.ox + a.sx AND a.oy < b.oy + b.sy AND b
 _VOXELS = """voxels AS (SELECT (l_orderkey >> 4) & 3 AS src, l_linenumber % 3 AS c, ((l_partkey & 15) + (l_orderkey >> 14) * 16)::INT AS x, (l_suppkey & 15)::INT AS y, (l_orderkey & 15)::INT AS z,
   (floor(l_extendedprice)::BIGINT & 65535)::INT AS v FROM lineitem)"""
 _MERGED = """merged AS (SELECT c, x, y, z, max(v) AS v FROM voxels GROUP BY ALL)"""
-_PATHS = """paths AS (SELECT o_orderkey AS k, o_orderkey % 512 + 1 AS job, o_orderstatus = 'F' AS lit, (((o_orderkey >> 6) & 7) + 1) || '/' || (((o_orderkey >> 3) & 7) + 1) || '/' || ((o_orderkey & 7) + 1) AS path FROM orders)"""
+_PATHS = """paths AS (SELECT o_orderkey AS k, o_orderkey % 512 + 1 AS job, o_orderstatus <> 'O' AS lit, (((o_orderkey >> 6) & 7) + 1) || '/' || (((o_orderkey >> 3) & 7) + 1) || '/' || ((o_orderkey & 7) + 1) AS path FROM orders)"""
 _NODES3 = """xs AS (SELECT unnest([1, 2, 3]) AS ix), ys AS (SELECT unnest([1, 2]) AS iy), zs AS (SELECT unnest([1, 2, 3]) AS iz),
 grid AS (SELECT id, ix, iy, iz, ox + sx * (ix - 1) // 2 AS x, oy + sy * (iy - 1) AS y, oz + sz * (iz - 1) // 2 AS z FROM boxes, xs, ys, zs),
 cells AS (SELECT DISTINCT id, ix, iy, iz FROM grid WHERE ix < 3 AND iy < 2 AND iz < 3),
@@ -72,7 +72,7 @@ def _second(src: str, out: str) -> str:
 _UNION = "min(ox) AS ox, min(oy) AS oy, min(oz) AS oz, max(ox + sx) - min(ox) AS sx, max(oy + sy) - min(oy) AS sy, max(oz + sz) - min(oz) AS sz"
 _STACK = f"""faces AS (SELECT {_face("i", "1234")} AS face FROM (SELECT unnest(generate_series(0, 63)) AS i)),
 stack AS (SELECT face, d::INT AS i, {" || ".join(f"(substr(face, {j + 1}, 1)::INT + ((d >> {2 - j}) & 1) * 4)" for j in range(3))} AS leaf FROM faces, (SELECT unnest(generate_series(0, 7)) AS d)),
-leaves AS (SELECT replace(path, '/', '') AS leaf FROM paths GROUP BY 1 HAVING sum(CASE WHEN lit THEN 1 ELSE -1 END) > 0),
+leaves AS (SELECT replace(path, '/', '') AS leaf FROM paths GROUP BY 1 HAVING arg_max(lit, k)),
 found AS (SELECT face, i, leaf, min(i) OVER (PARTITION BY face) AS skipped, (row_number() OVER (PARTITION BY face ORDER BY i) - 1)::INT AS position FROM stack SEMI JOIN leaves USING (leaf))"""
 
 ORACLES = {

@@ -196,9 +196,9 @@ def quadtree_to_xy(spark, d):
 
 
 def _leaf_paths(spark, d):
-    """Leaves that have an image: those with more lit orders than others."""
-    by_leaf = derived.node_paths(spark, d).groupBy(F.replace(F.col("path"), F.lit("/"), F.lit("")).alias("leaf")).agg(F.sum(F.when(F.col("lit"), 1).otherwise(-1)).alias("light"))
-    return by_leaf.where("light > 0").select("leaf")
+    """Leaves that have an image: those whose last order is lit."""
+    by_leaf = derived.node_paths(spark, d).groupBy(F.replace(F.col("path"), F.lit("/"), F.lit("")).alias("leaf")).agg(F.max_by("lit", "k").alias("lit"))
+    return by_leaf.where("lit").select("leaf")
 
 
 def face_leaf_stack(spark, d):

@@ -53,7 +53,7 @@ def node_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     digit = lambda n: (F.shiftright(k, n).bitwiseAND(7) + 1).cast("string")
     rows = read(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
-    return rows.select(k.alias("k"), (k % 512 + 1).alias("job"), F.concat_ws("/", digit(6), digit(3), digit(0)).alias("path"), (F.col("o_orderstatus") == "F").alias("lit"))
+    return rows.select(k.alias("k"), (k % 512 + 1).alias("job"), F.concat_ws("/", digit(6), digit(3), digit(0)).alias("path"), (F.col("o_orderstatus") != "O").alias("lit"))
 
 
 # The texts of timed log lines, by the stage group of each.
