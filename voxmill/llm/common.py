@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 # Fixed value: the white space of the contracts, [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
@@ -62,13 +63,16 @@ def pick(docs: DataFrame, *names: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs``, stored once, with a number of its own for each row, and the name of that column.
+    """``docs`` with a number of its own for each row, and the name of that column; a decision about rows is joined back by it.
 
-    Ids may be null or repeat; a decision about rows is joined back by this number.
+    Where ids are whole numbers and none is null or repeats, the number is the id; else the rows are stored once with numbers.
     """
     name = "_row"
     while name in [c.lower() for c in docs.columns]:
         name += "_"
+    ids = docs.select(docs["`doc_id`"].alias("id"))
+    if isinstance(ids.schema["id"].dataType, IntegralType) and not ids.groupBy("id").count().where("count > 1 OR id IS NULL").limit(1).count():
+        return docs.withColumn(name, docs["`doc_id`"].cast("long")), name
     return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 

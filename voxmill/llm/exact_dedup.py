@@ -97,9 +97,9 @@ def kept_documents(docs: DataFrame, slots: int = 1 << 18) -> DataFrame:
     hashed = _hashed(rows, False, slots, number).where("live")
     # stored, so that the join below is of plain rows and adaptive execution can split a hot group
     groups = stored(
-        hashed.groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(_order((-F.col(number)).alias("minus_row"))).alias("best"))
+        hashed.groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.max(_order(F.bitwise_not(F.col(number)).alias("row_down"))).alias("best"))
         .where("group_size > 1")
-        .select("text_sha256", (-F.col("best.minus_row")).alias("keep_row")),
+        .select("text_sha256", F.bitwise_not(F.col("best.row_down")).alias("keep_row")),
         "groups",
     )
     gone = hashed.join(groups, "text_sha256").where(F.col(number) != F.col("keep_row")).select(number)
