@@ -83,7 +83,7 @@ def _half_of_tile(held: DataFrame, kept: list[str]) -> DataFrame:
     return split.select(*[f"t{x}" for x in AXES], *kept, *[F.when(alive, half[c]).cast("long").alias(c) for c in BOX])
 
 
-def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64, steps: int = 4) -> DataFrame:
+def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64, steps: int = 3) -> DataFrame:
     """Boxes with at most ``most`` tile origins each (or of side 1), and their counts; empty ones are left out.
 
     A round halves every overfull box ``steps`` times along its longest axis and counts the tiles of all of these halves in one
