@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from voxmill import queries
 from voxmill.functions import geometry as g
 from voxmill.jobs import logs
-from voxmill.operators import merge, octree, projection, resample, spatial
+from voxmill.operators import merge, octree, projection, spatial
 from voxmill.oracles import ORACLES
 from voxmill.sources import catalog, tiff
 from voxmill.streaming import monitor
@@ -108,39 +108,47 @@ def test_nth_falls_back_to_the_dimmest(spark):
     assert {r.x: r.v for r in merge.downsample(v, "nth_nonzero").collect()} == {0: 4, 1: 0}
 
 
-def test_tiff_round_trip(spark, tmp_path):
+def test_tiff_round_trip():
     stack = np.arange(2 * 3 * 5, dtype=np.uint16).reshape(2, 3, 5) * 2000
     assert np.array_equal(tiff.decode(tiff.encode(stack)), stack)
     with pytest.raises(ValueError):
         tiff.decode(b"II\0\0" + bytes(20))
-    rows = [("00/00001/t", c, x, y, z, 1 + x + 10 * y + 100 * z + c) for c in range(2) for x in range(4) for y in range(3) for z in range(2)]
-    tiff.save_tiles(spark.createDataFrame(rows, tiff.VOXELS), str(tmp_path), (4, 3, 2))
-    got = {(r.path.split("/")[-1], r.c, r.x, r.y, r.z, r.v) for r in tiff.load_tiles(spark, str(tmp_path)).collect()}
-    assert got == {("t", *r[1:]) for r in rows}
-
-
-def test_resampling_an_aligned_block_copies_it():
-    n = 6
-    corners = resample.CORNERS * n
-    points = np.stack(np.meshgrid(*[np.arange(n)] * 3, indexing="ij"), -1).reshape(-1, 3) + 0.5
-    block = np.arange(n**3).reshape(n, n, n).astype("<u2")
-    for turn in (0, 90):
-        t = resample.unit_positions(corners, points, turn)
-        assert np.allclose(t * n, points)
-        for mode in ("nearest", "linear"):
-            assert np.allclose(resample.sampled(block, t, mode), block.ravel())
-    assert np.isnan(resample.unit_positions(corners, np.array([[n + 1.0, 1, 1]]), 0)).all()
-    skew = corners + np.array([[0.0, 0.3, 0.1]]) * corners[:, :1]
-    inside = (resample.CORNERS[:, None] * 0).sum() + skew.mean(axis=0)[None]
-    assert not np.isnan(resample.unit_positions(skew, inside, 90)).any()
 
 
 def test_blur_keeps_a_flat_image(spark):
-    flat = spark.createDataFrame([(x, y, 700.0) for x in range(12) for y in range(9)], "x int, y int, p double")
-    out = projection.gaussian(flat, 12, 9, 4, 3).collect()
+    flat = spark.createDataFrame([(x, y, 700) for x in range(12) for y in range(9)], "x int, y int, p int")
+    out = projection.pixels_of(projection.resized(projection.image_bricks(flat), 12, 9, 4, 3)).collect()
     assert len(out) == 12 and {r.p for r in out} == {700}
 
 
+def weights(n, m):
+    """[target, cell] by the definition: blur each cell with a bell cut at four sigmas and renormalised, then interpolate."""
+    ratio, cells = n / m, np.arange(n)
+    sigma = 0.75 * ratio
+    blur = np.exp(-(((cells[:, None] - cells) / sigma) ** 2) / 2) * (abs(cells[:, None] - cells) <= int(4 * sigma + 0.5))
+    blur /= blur.sum(1, keepdims=True)
+    at = np.clip((np.arange(m) + 0.5) * ratio - 0.5, 0, n - 1)
+    low = np.floor(at).astype(int)
+    return (1 - at + low)[:, None] * blur[low] + (at - low)[:, None] * blur[np.minimum(low + 1, n - 1)]
+
+
+@pytest.mark.parametrize(("width", "height", "new"), [(150, 90, (150, 90)), (150, 90, (50, 31)), (200, 70, (3, 2)), (65, 130, (80, 140)), (5, 200, (1, 9))])
+def test_blur_by_bricks_is_a_blur_of_the_whole(spark, width, height, new):
+    image = np.random.default_rng(width).integers(0, 65536, (width, height)) * (np.random.default_rng(1).random((width, height)) < 0.3)
+    pixels = spark.createDataFrame([(int(x), int(y), int(image[x, y])) for x, y in np.argwhere(image)], "x int, y int, p int").repartition(4)
+    got = np.zeros(new, int)
+    for r in projection.pixels_of(projection.resized(projection.image_bricks(pixels), width, height, *new)).collect():
+        got[r.x, r.y] = r.p
+    want = weights(width, new[0]) @ image @ weights(height, new[1]).T
+    assert abs(got - want).max() <= 0.5 + 1e-6
+
+
+def test_a_wide_blur_sends_few_rows(spark):
+    """What a brick sends on follows from the ratio of sizes, not from the blur's reach."""
+    taps = projection.Taps(10_000, 50)
+    assert taps.reach == 600 and all(len(taps.of(s, 64)[1]) <= 64 / taps.ratio + 8 for s in range(0, 10_000, 64))
+
+
 def test_catalogue(spark, tmp_path):
     text = "path: /data\ntiles:\n" + "".join(
         f"- path: /00/0000{i}\n  aabb: {{ori: [{i}, 2, 3], shape: [10, 10, 10]}}\n  shape: {{type: u16, dims: [16, 32, 64, 1]}}\n"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 
@@ -16,12 +17,16 @@ class EngineConfig:
     roi_size: tuple[float, float, float] = (1.0, 1.0, 1.0)
     include_origins_outside_roi: bool = False
     interpolation: str = "nearest"
-    downsampling: str = "first"
+    #: a key of ``bricks.REDUCERS``, or a function of the same kind
+    downsampling: str | Callable = "first"
 
 
 @dataclass(frozen=True)
 class ProjectionConfig:
+    #: 1, 2 or 3: along x, y or z
     axis: int = 3
+    #: a key of ``projection.PROJECTIONS``, or a function of the same kind
+    function: str | Callable = "max"
     signal_channel: int = 0
     reference_channel: int = 1
     signal_levels: tuple[float, float] = (1.0, 65535.0)

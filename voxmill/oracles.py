@@ -141,6 +141,7 @@ SELECT vec_id, array_to_string(list_sort(list_distinct(lims)), ',') AS ordered,
     + "SELECT row_number() OVER (ORDER BY n DESC, ox, oy, oz, sx, sy, sz) AS job, ox, oy, oz, sx, sy, sz, n AS ntiles FROM jobs WHERE n > 0 AND (n <= 120 OR greatest(sx, sy, sz) <= 1)",
     "tile_locality_order": _with(_BOXES, _BBOX, _NODES, f"f AS (SELECT a.id, min(b.morton) AS first_leaf FROM boxes a JOIN nodes b ON b.level = 2 AND {_HIT} GROUP BY 1)", recursive=True) + "SELECT id, first_leaf, row_number() OVER (ORDER BY first_leaf, id) AS rank FROM f",
     "max_merge": _with(_VOXELS, _MERGED) + "SELECT * FROM merged",
+    "max_merge_bricks": _with(_VOXELS, _MERGED) + "SELECT * FROM merged WHERE v > 0",
     "merge_octrees": _with(_VOXELS) + "SELECT c, x, y, z, max(v) AS v FROM voxels GROUP BY ALL",
     "exclude_nodes": _with(_VOXELS) + "SELECT x, y, count(*) AS n FROM voxels ANTI JOIN (SELECT x, y, z FROM voxels WHERE v > 65000) USING (x, y, z) GROUP BY ALL",
     "downsample_first": _with(_VOXELS, _MERGED) + "SELECT c, x >> 1 AS x, y >> 1 AS y, z >> 1 AS z, v FROM merged WHERE x % 2 = 0 AND y % 2 = 0 AND z % 2 = 0",
@@ -177,13 +178,14 @@ SELECT node, seq, rx, (rx - lag(rx) OVER (PARTITION BY node ORDER BY seq)) // 60
     "incomplete_outputs": _with(_VOXELS) + "SELECT x, y, z, count(DISTINCT src) AS ready, max(v % 5)::BIGINT AS expected FROM voxels GROUP BY ALL HAVING expected > 1 AND expected <> ready",
     "resample_nearest": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, "g AS (SELECT unnest(generate_series(0, 7))::INT AS i)",
         "bricks AS (SELECT l_partkey AS id, (l_suppkey & 3) AS kx, (l_orderkey & 3) AS ky, (l_linenumber & 3) AS kz, max((floor(l_extendedprice)::BIGINT & 65535)::INT) AS v FROM lineitem GROUP BY ALL)",
-        *[f"""on{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, greatest(0, ceil(((b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x}) * 4 - 1e-9::DOUBLE) - 1)::INT AS k{x}
-  FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} BETWEEN 0 AND 1)""" for x in "xyz"], recursive=True)
+        *[f"""on{x} AS (SELECT DISTINCT * EXCLUDE (pos), unnest([greatest(0, ceil(pos - 1e-9::DOUBLE) - 1)::INT, least(3, floor(pos + 1e-9::DOUBLE))::INT]) AS k{x} FROM (
+  SELECT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, (b.o{x} + g.i * b.s{x} / 8.0::DOUBLE - a.o{x}) / a.s{x} * 4 AS pos
+  FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g) WHERE pos / 4 BETWEEN -1e-7::DOUBLE AND 1 + 1e-7::DOUBLE)""" for x in "xyz"], recursive=True)
     + "SELECT path, x, y, z, max(v) AS v FROM onx JOIN ony USING (path, id, ix, iy, iz) JOIN onz USING (path, id, ix, iy, iz) JOIN bricks USING (id, kx, ky, kz) WHERE v > 0 GROUP BY ALL",
     "resample_linear": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, "g AS (SELECT unnest(generate_series(0, 7))::INT AS i)",
         "bricks AS (SELECT l_partkey AS id, (l_suppkey & 3) AS kx, (l_orderkey & 3) AS ky, (l_linenumber & 3) AS kz, max((floor(l_extendedprice)::BIGINT & 65535)::INT) AS v FROM lineitem GROUP BY ALL)",
-        *[f"""at{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, least(3, greatest(0, (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} * 4 - 0.5::DOUBLE)) AS pos
-  FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + (g.i + 0.5::DOUBLE) * b.s{x} / 8.0 - a.o{x}) / a.s{x} BETWEEN 0 AND 1),
+        *[f"""at{x} AS (SELECT DISTINCT b.path, a.id, a.ix, a.iy, a.iz, g.i AS {x}, least(3, greatest(0, (b.o{x} + g.i * b.s{x} / 8.0::DOUBLE - a.o{x}) / a.s{x} * 4 - 0.5::DOUBLE)) AS pos
+  FROM subtiles a JOIN nodes b ON b.level = 2 AND {_HIT} CROSS JOIN g WHERE (b.o{x} + g.i * b.s{x} / 8.0::DOUBLE - a.o{x}) / a.s{x} BETWEEN -1e-7::DOUBLE AND 1 + 1e-7::DOUBLE),
 on{x} AS (SELECT * EXCLUDE (pos), least(2, floor(pos))::INT AS k{x}, 1 - (pos - least(2, floor(pos))) AS w{x} FROM at{x} UNION ALL SELECT * EXCLUDE (pos), least(2, floor(pos))::INT + 1, pos - least(2, floor(pos)) FROM at{x})""" for x in "xyz"], recursive=True)
     + """SELECT path, x, y, z, max(v) AS v FROM (SELECT path, id, ix, iy, iz, x, y, z, floor(sum(wx * wy * wz * v) + 0.5 + 1e-6::DOUBLE)::INT AS v
   FROM onx JOIN ony USING (path, id, ix, iy, iz) JOIN onz USING (path, id, ix, iy, iz) JOIN bricks USING (id, kx, ky, kz) GROUP BY ALL) WHERE v > 0 GROUP BY ALL""",

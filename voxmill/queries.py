@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from voxmill.functions import geometry as g
 from voxmill.functions.geometry import AXES, BOX
 from voxmill.jobs import logs
-from voxmill.operators import merge, octree, projection, resample, spatial
+from voxmill.operators import bricks, merge, octree, projection, resample, spatial
 from voxmill.sources import catalog, derived, tiff
 
 VOXEL_UM = (0.002, 0.002, 0.002)
@@ -320,6 +320,11 @@ def max_merge(spark, d):
     return merge.max_merge(derived.voxels(spark, d))
 
 
+def max_merge_bricks(spark, d):
+    """The same by dense bricks, which are combined inside each task and then once a brick; voxels over 0."""
+    return bricks.unpack(bricks.merged(bricks.pack(derived.voxels(spark, d))))
+
+
 def merge_octrees(spark, d):
     v = derived.voxels(spark, d)
     return merge.max_merge(*[v.where(F.col("src") == k) for k in range(4)])
@@ -397,7 +402,7 @@ def mosaic(spark, d):
 def gaussian_downsample(spark, d):
     image = projection.as_pixels(project_max(spark, d))
     width = 16 * (image.agg(F.coalesce(F.max(F.shiftright("x", 4)), F.lit(0))).first()[0] + 1)
-    return projection.gaussian(image, width, 16, width * 6 // 16, 5)
+    return projection.pixels_of(projection.resized(projection.image_bricks(image), width, 16, width * 6 // 16, 5))
 
 
 def octree_listing(spark, d):
@@ -470,12 +475,12 @@ def _resample(spark, d, mode):
     lines = derived.read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
     voxels = lines.selectExpr("l_partkey AS id", "CAST((l_suppkey & 3) + 4 * (l_orderkey & 3) + 16 * (l_linenumber & 3) AS INT) AS at", "CAST(floor(l_extendedprice) AS BIGINT) & 65535 AS v")
     voxels = voxels.groupBy("id", "at").agg(F.max("v").alias("v"))
-    bricks = voxels.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("lit"))  # at most 64 entries
+    tiles = voxels.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("lit"))  # at most 64 entries
     word = lambda i: F.lpad(F.hex(F.coalesce(F.try_element_at("lit", i), F.lit(0))), 4, "0")
     little = lambda w: F.concat(F.substring(w, 3, 2), F.substring(w, 1, 2))
     block = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: little(word(i))), ""))
-    one = pairs.join(bricks.select("id", block.alias("block")), "id").select("path", *BOX, "corners", "orientation", "block", *[F.lit(4).alias(f"n{a}") for a in AXES])
-    return resample.resample(one, mode).groupBy("path", "x", "y", "z").agg(F.max("v").alias("v"))
+    one = pairs.join(tiles.select("id", block.alias("block")), "id").select("path", *BOX, "corners", "orientation", "block", *[F.lit(4).alias(f"n{a}") for a in AXES])
+    return bricks.unpack(bricks.merged(resample.resample(one, mode), ("path",)), ("path",))
 
 
 def resample_nearest(spark, d):
@@ -493,7 +498,7 @@ QUERIES = {
         leaf_tile_count, tile_catalog, load_tiles, tile_count, tile_attrs, grid_validate, grid_validate_shared, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
         leaf_shape_search, transform_params, roi_box, roi_from_morton, tiles_in_roi, subtile_corners, subtile_aabb, leaf_transform, subtile_slice, morton_decode, face_paths, quadtree_to_xy,
         face_leaf_stack, face_stack_voxels, crop_range, scale_clamp, path_ops, octal_digits, human_readable, string_scalars, math_scalars, array_scalars, leaf_tile_overlap, solo_leaves,
-        octree_descend, subtiles_per_leaf, tiles_per_box, kd_jobs, tile_locality_order, max_merge, merge_octrees, exclude_nodes, downsample_first, downsample_mean, downsample_second,
+        octree_descend, subtiles_per_leaf, tiles_per_box, kd_jobs, tile_locality_order, max_merge, max_merge_bricks, merge_octrees, exclude_nodes, downsample_first, downsample_mean, downsample_second,
         downsample_nth_nonzero, octree_pyramid, custom_udaf, channel_subtract, project_max, project_p999, project_median_max, project_second, mosaic, gaussian_downsample, octree_listing,
         leaf_only_scan, face_listing, log_scan, stage_profile, profile_bar, log_counts, timing_rollup, monitor_scan, cluster_series_sum, node_rates, incomplete_outputs, resample_nearest, resample_linear,
     )

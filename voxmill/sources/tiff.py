@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import struct
 from collections.abc import Iterator
 
@@ -92,33 +91,3 @@ def listing(spark: SparkSession, folder: str, level: int | None = None) -> DataF
     node = F.regexp_extract("path", r"((?:/[1-8])*)/default\.[0-9]\.tif$", 1)
     named = files.select(F.regexp_replace(node, "^/", "").alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"))
     return named.select("path", F.when(F.col("path") == "", 0).otherwise(F.size(F.split("path", "/"))).alias("level"), "c")
-
-
-def files_of(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, c, content) of all ``<name>.<channel>.tif`` files below a folder; the path without its ending."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[0-9].tif").load(folder)
-    name = F.regexp_replace("path", r"\.[0-9]\.tif$", "")
-    return files.select(name.alias("path"), F.regexp_extract("path", r"\.([0-9])\.tif$", 1).cast("int").alias("c"), "content")
-
-
-def load_tiles(spark: SparkSession, folder: str) -> DataFrame:
-    """VOXELS of all such files."""
-    return decoded(files_of(spark, folder))
-
-
-def save_tiles(voxels: DataFrame, folder: str, shape: tuple[int, int, int]) -> None:
-    """Write one TIFF per path and channel below a folder that all executors share.
-
-    A file is written under another name and then renamed, so a task that runs again replaces it whole.
-    """
-
-    def write(rows) -> None:
-        for r in rows:
-            name = os.path.join(folder, f"{r.path}.{r.c}.tif")
-            os.makedirs(os.path.dirname(name), exist_ok=True)
-            part = f"{name}.{os.getpid()}"
-            with open(part, "wb") as out:
-                out.write(r.content)
-            os.replace(part, name)
-
-    encoded(voxels, shape).foreachPartition(write)
