@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from voxmill.operators.quantiles import quantiles
 from voxmill.sources.derived import CATEGORIES, STAGES
 
 SECONDS = r"([0-9.]*)(?= sec)"
@@ -23,11 +24,12 @@ def categorised(lines: DataFrame) -> DataFrame:
 
 
 def stage_profile(lines: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """Per category: lines, extremes, total and quartiles; exact ones, whose buffers grow with the distinct times of a category, or
-    with ``accuracy`` approximate ones of bounded buffers."""
-    quantile = (lambda p: F.percentile_approx("sec", p, accuracy)) if accuracy else (lambda p: F.percentile("sec", p))
-    q = [quantile(p).alias(f"q{int(p * 100)}") for p in (0.25, 0.5, 0.75)]
-    return categorised(lines).groupBy("category").agg(F.count("*").alias("n"), F.min("sec").alias("least"), F.max("sec").alias("most"), F.sum(F.col("sec").cast("decimal(20,2)")).alias("total"), *q)
+    """Per category: lines, extremes, total and quartiles, exact ones by refined histograms or, with ``accuracy``, approximate ones in one pass."""
+    rows, quartiles = categorised(lines).select("category", "sec"), {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    rows = rows if accuracy else rows.checkpoint()
+    q = [F.percentile_approx("sec", p, accuracy).alias(name) for name, p in quartiles.items()] if accuracy else []
+    out = rows.groupBy("category").agg(F.count("*").alias("n"), F.min("sec").alias("least"), F.max("sec").alias("most"), F.sum(F.col("sec").cast("decimal(20,2)")).alias("total"), *q)
+    return out if accuracy else out.join(quantiles(rows, ["category"], "sec", quartiles), "category")
 
 
 def stage_group(category: Column) -> Column:

@@ -140,9 +140,7 @@ def blocks(cut: DataFrame) -> DataFrame:
 
 def leaf_bricks(tiles: DataFrame, cut: DataFrame, box: DataFrame, p: Plan, config: EngineConfig) -> DataFrame:
     """(path, c, i, j, k, data) of all leaves: resampled, and merged by their greatest value where several sub-tiles meet in a leaf."""
-    corners = catalog.corner_nodes(catalog.grid_nodes(tiles)).groupBy("id", "ix", "iy", "iz").agg(F.sort_array(F.collect_list(F.struct("b", *AXES))).alias("cs"))
-    flat = F.flatten(F.transform("cs", lambda c: F.array(c["x"], c["y"], c["z"])))
-    cells = catalog.subtiles(catalog.grid_nodes(tiles)).join(corners.select("id", "ix", "iy", "iz", flat.alias("corners")), ["id", "ix", "iy", "iz"])
+    cells = catalog.subtiles(catalog.grid_nodes(tiles), corners=True)
     tile = F.struct("id", "ix", "iy", "iz", "corners", "orientation")
     hits = octree.descend(cells.select(tile.alias("id"), *BOX), box, p.nlevels, leaves_only=True).checkpoint()
     shared = hits.groupBy("path").agg((F.count("*") > 1).alias("shared"))

@@ -58,21 +58,47 @@ def downsample(voxels: DataFrame, how: str | Column) -> DataFrame:
 def pyramid(leaves: DataFrame, depth: int, how: str | Column, existing: DataFrame | None = None) -> DataFrame:
     """(level, c, x, y, z, v) of all levels, leaves at ``depth``, in coordinates global to their level.
 
-    existing(level, node size as ``side``, nx, ny, nz with voxels level, c, x, y, z, v): nodes that already have an image keep it: their
-    voxels replace what would be computed there. Each level is checkpointed, so the next costs one shuffle of an eighth of it.
+    existing(level, node size as ``side``, nx, ny, nz with voxels level, c, x, y, z, v): nodes that already have an image keep it, and nothing is
+    computed there: what lies below them is left out before the aggregate. Each level is checkpointed, so the next costs one shuffle of an eighth of it.
     """
     level = leaves.select(*AT, "v")
     out = [level.withColumn("level", F.lit(depth))]
     for k in reversed(range(depth)):
-        level = downsample(level, how)
-        if existing is not None:
-            own = existing.where(F.col("level") == k)
+        own = existing.where(F.col("level") == k) if existing is not None else None
+        if own is not None:
             cells = own.select("c", "nx", "ny", "nz", "side").distinct()
             # nodes of a level have one side as a rule, so the join is by equal keys, one for each side
             for side in [r.side for r in cells.select("side").distinct().collect()]:
-                at = [F.floor(level[a] / side) == cells[f"n{a}"] for a in "xyz"] + [level["c"] == cells["c"]]
+                at = [F.floor(level[a] / (2 * side)) == cells[f"n{a}"] for a in "xyz"] + [level["c"] == cells["c"]]
                 level = level.join(cells.where(F.col("side") == side), at, "left_anti")
+        level = downsample(level, how)
+        if own is not None:
             level = level.unionByName(own.where("v > 0").select(*AT, "v"))
         level = level.checkpoint()
         out.append(level.withColumn("level", F.lit(k)))
     return reduce(DataFrame.unionByName, out).select("level", *AT, "v")
+
+
+def refresh(old: DataFrame, depth: int, how: str | Column, new: DataFrame) -> DataFrame:
+    """The pyramid old(level, c, x, y, z, v) after new(c, x, y, z, v) are merged into its leaves: as if it were built anew.
+
+    Only cubes above voxels that did change are computed. A level's changes are what differs from before, so they die out where a reducer
+    gives the same value again; all other voxels are taken as they are.
+    """
+
+    def differing(found: DataFrame, before: DataFrame, rises: bool) -> DataFrame:
+        known = before.select(*AT, F.col("v").alias("was"))
+        return found.join(known, AT, "left").where("was IS NULL OR " + ("v > was" if rises else "v <> was")).select(*AT, "v").checkpoint()
+
+    before = old.where(F.col("level") == depth).select(*AT, "v")
+    changed = differing(max_merge(new), before, True)
+    now, out = before.join(changed, AT, "left_anti").unionByName(changed), []
+    out.append(now.withColumn("level", F.lit(depth)))
+    for k in reversed(range(depth)):
+        touched = changed.select("c", *[_down(a).alias(f"p{a}") for a in "xyz"]).distinct()
+        under = [now["c"] == touched["c"]] + [F.shiftright(now[a], 1) == touched[f"p{a}"] for a in "xyz"]
+        before = old.where(F.col("level") == k).select(*AT, "v")
+        changed = differing(downsample(now.join(touched, under, "left_semi"), how), before, False)
+        now = before.join(changed, AT, "left_anti").unionByName(changed)
+        out.append(now.withColumn("level", F.lit(k)))
+    return reduce(DataFrame.unionByName, out).select("level", *AT, "v")

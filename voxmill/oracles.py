@@ -101,6 +101,8 @@ UNION ALL SELECT 'same_xlims', count(DISTINCT id % 7 = 0), count(DISTINCT id % 7
     "roi_from_morton": _with(_PATHS, "f AS (SELECT k, ((k >> 6) & 7) AS a, ((k >> 3) & 7) AS b, (k & 7) AS c FROM paths)") + "SELECT k, " + ", ".join(f"((a >> {i}) & 1) / 2.0::DOUBLE + ((b >> {i}) & 1) / 4.0::DOUBLE + ((c >> {i}) & 1) / 8.0::DOUBLE AS f{x}" for i, x in enumerate("xyz")) + ", 0.125::DOUBLE AS size FROM f",
     "tiles_in_roi": _with(_BOXES, _BBOX, "roi AS (SELECT round_even(ox::DOUBLE, 0)::BIGINT AS ox, round_even(oy::DOUBLE, 0)::BIGINT AS oy, round_even(oz + sz * 0.5::DOUBLE, 0)::BIGINT AS oz, round_even(sx * 0.5::DOUBLE, 0)::BIGINT AS sx, round_even(sy * 0.5::DOUBLE, 0)::BIGINT AS sy, round_even(sz * 0.5::DOUBLE, 0)::BIGINT AS sz FROM bbox)")
     + f"SELECT a.* FROM boxes a, roi b WHERE {_HIT} AND a.ox >= b.ox AND a.oy >= b.oy AND a.oz >= b.oz",
+    "roi_scan": _with(_BOXES, _BBOX, "roi AS (SELECT round_even(ox + sx * 0.25::DOUBLE, 0)::BIGINT AS ox, round_even(oy + sy * 0.125::DOUBLE, 0)::BIGINT AS oy, round_even(oz + sz * 0.25::DOUBLE, 0)::BIGINT AS oz, round_even(sx * 0.25::DOUBLE, 0)::BIGINT AS sx, round_even(sy * 0.5::DOUBLE, 0)::BIGINT AS sy, round_even(sz * 0.5::DOUBLE, 0)::BIGINT AS sz FROM bbox)")
+    + "SELECT a.* FROM boxes a, roi b WHERE a.ox >= b.ox AND a.oy >= b.oy AND a.oz >= b.oz AND a.ox < b.ox + b.sx AND a.oy < b.oy + b.sy AND a.oz < b.oz + b.sz",
     "subtile_corners": _with(_BOXES, _NODES3) + "SELECT id, ix, iy, iz, CASE WHEN (ix + iy + iz) % 2 = 1 THEN 90 ELSE 0 END AS orientation, " + ", ".join(f"(1 + ix - 1 + {b & 1} + 3 * (iy - 1 + {b >> 1 & 1}) + 6 * (iz - 1 + {b >> 2 & 1}))::INT AS corner{b}" for b in range(8)) + " FROM cells",
     "subtile_aabb": _with(_BOXES, _NODES3, _SUB) + "SELECT * FROM subtiles",
     "leaf_transform": _with(_BOXES, _BBOX, _NODES3) + "SELECT c.id, c.ix, c.iy, c.iz, b::INT AS b, " + ", ".join(f"round((c.{x} - r.o{x}) / (r.s{x} / 64.0::DOUBLE), 6) AS p{x}" for x in "xyz") + " FROM corners c, bbox r",
@@ -175,6 +177,7 @@ HAVING tiles_read + outputs_saved + errors + failures + warnings + faults > 0"""
     "cluster_series_sum": _with(_MONITOR) + "SELECT seq::INT AS seq, sum(ntiles)::BIGINT AS ntiles FROM (SELECT row_number() OVER (PARTITION BY node ORDER BY event_id) AS seq, ntiles FROM samples) GROUP BY seq",
     "node_rates": """WITH t AS (SELECT user_id AS node, event_id AS seq, (event_id * 104857600 + floor(coalesce(value, 0) * 1000000)::BIGINT) * 3 AS rx FROM events)
 SELECT node, seq, rx, (rx - lag(rx) OVER (PARTITION BY node ORDER BY seq)) // 600 // 1024 // 1024 AS mbps FROM t""",
+    "stack_range": _with(_VOXELS) + "SELECT 't/' || (x >> 4) AS path, c, (x % 16)::INT AS x, y, z, max(v) AS v FROM voxels WHERE c = 1 AND z BETWEEN 3 AND 8 AND v > 0 GROUP BY ALL",
     "incomplete_outputs": _with(_VOXELS) + "SELECT x, y, z, count(DISTINCT src) AS ready, max(v % 5)::BIGINT AS expected FROM voxels GROUP BY ALL HAVING expected > 1 AND expected <> ready",
     "resample_nearest": _with(_BOXES, _BBOX, _NODES, _NODES3, _SUB, "g AS (SELECT unnest(generate_series(0, 7))::INT AS i)",
         "bricks AS (SELECT l_partkey AS id, (l_suppkey & 3) AS kx, (l_orderkey & 3) AS ky, (l_linenumber & 3) AS kz, max((floor(l_extendedprice)::BIGINT & 65535)::INT) AS v FROM lineitem GROUP BY ALL)",
@@ -198,3 +201,7 @@ w{x} AS (SELECT t, a, sum(w * g / total) AS w FROM (SELECT *, sum(g) OVER (PARTI
         "across AS (SELECT wx.t AS x, image.y, sum(p * w) AS p FROM image JOIN wx ON wx.a = image.x GROUP BY ALL)")
     + "SELECT x::INT AS x, wy.t::INT AS y, round_even(sum(p * w), 0)::INT AS p FROM across JOIN wy ON wy.a = across.y GROUP BY ALL",
 }
+
+# Another way to the same rows.
+ORACLES["pyramid_refresh"] = ORACLES["octree_pyramid"]
+ORACLES["node_rates_stream"] = ORACLES["node_rates"]

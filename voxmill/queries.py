@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,9 @@ from pyspark.sql.window import Window
 from voxmill.functions import geometry as g
 from voxmill.functions.geometry import AXES, BOX
 from voxmill.jobs import logs
-from voxmill.operators import bricks, merge, octree, projection, resample, spatial
-from voxmill.sources import catalog, derived, tiff
+from voxmill.operators import bricks, merge, octree, projection, quantiles, regions, resample, spatial
+from voxmill.sources import catalog, derived, stacks, tiff
+from voxmill.streaming import rates
 
 VOXEL_UM = (0.002, 0.002, 0.002)
 MAX_PIXELS = 20_000
@@ -54,6 +56,33 @@ def tile_catalog(spark, d):
     return t.select("id", "path", *BOX, F.concat_ws(",", "dims").alias("dims"), F.concat_ws(",", "zlims").alias("zlims"))
 
 
+def shared_place(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, deleted when the application ends."""
+    checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def stack_range(spark, d):
+    """Stacks of 16 x 16 x 16 voxels, one for each channel and 16,384 orders, written by the sink and read again for a range of pages of one channel."""
+    folder = shared_place(spark, "stacks")
+    v = derived.voxels(spark, d).withColumn("path", F.concat(F.lit("t/"), F.shiftright("x", 4))).withColumn("x", F.col("x") % 16)
+    stacks.save_voxels(v, folder, (16, 16, 16))
+    return stacks.voxels(stacks.load(spark, folder).where("c = 1 AND z >= 3 AND z < 9"))
+
+
+def roi_scan(spark, d):
+    """Tiles that begin in a box, from a table in space-filling order of which only the row groups near the box are read."""
+    b = derived.boxes(spark, d)
+    whole = _bbox(spark, d).first()
+    box = _bbox(spark, d).select(*g.roi_box((0.25, 0.125, 0.25), (0.25, 0.5, 0.5))).first()
+    folder = shared_place(spark, "ordered")
+    regions.write_ordered(b, folder, tuple(whole[:3]), tuple(whole[3:]), max(1, b.count() // 100_000))
+    return regions.scan(spark, folder, tuple(whole[:3]), tuple(whole[3:]), tuple(box)).select("id", *BOX)
+
+
 def load_tiles(spark, d):
     """The tiles of each source written as TIFF stacks and read again; a stack is made of the greatest values of at most 16^3 places."""
     v = derived.voxels(spark, d).withColumn("path", F.concat_ws("-", F.lit("tile"), "src", F.shiftright("x", 4))).withColumn("x", F.col("x") % 16)
@@ -357,6 +386,15 @@ def octree_pyramid(spark, d):
     return merge.pyramid(max_merge(spark, d), 3, "second")
 
 
+def pyramid_refresh(spark, d):
+    """The pyramid of all voxels, from that of those without a corner of the fourth source, after these have come."""
+    checkpoints(spark)
+    v = derived.voxels(spark, d)
+    late = "src = 3 AND x % 16 < 4 AND y < 8"
+    old = merge.pyramid(merge.max_merge(v.where(f"NOT ({late})")), 3, "second")
+    return merge.refresh(old, 3, "second", v.where(late))
+
+
 def custom_udaf(spark, d):
     """A user's own reducer: the spread of a cube, as a grouped pandas UDF."""
 
@@ -381,7 +419,9 @@ def project_max(spark, d):
 
 
 def project_p999(spark, d):
-    return projection.project(_lit(spark, d), CROP, F.round(F.percentile("d", 0.999), 4))
+    checkpoints(spark)
+    inside = _lit(spark, d).where(F.col("z").between(*CROP)).checkpoint()
+    return quantiles.quantiles(inside, ["x", "y"], "d", {"p": 0.999}).withColumn("p", F.round("p", 4))
 
 
 def project_median_max(spark, d):
@@ -429,6 +469,7 @@ def log_scan(spark, d):
 
 
 def stage_profile(spark, d):
+    checkpoints(spark)
     out = logs.stage_profile(derived.log_lines(spark, d))
     return out.select("category", "n", "least", "most", F.col("total").cast("double").alias("total"), *[F.round(q, 6).alias(q) for q in ("q25", "q50", "q75")])
 
@@ -457,6 +498,13 @@ def node_rates(spark, d):
     return logs.node_rates(derived.counters(spark, d))
 
 
+def node_rates_stream(spark, d):
+    """The same from a stream with keyed state, which is stopped and goes on from its checkpoint when half the samples have come."""
+    counters = derived.counters(spark, d)
+    half = counters.agg(F.floor((F.min("seq") + F.max("seq")) / 2)).first()[0]
+    return rates.replayed(counters, shared_place(spark, "stream"), [half] if half is not None else [])
+
+
 def incomplete_outputs(spark, d):
     v = derived.voxels(spark, d)
     seen = v.groupBy("x", "y", "z").agg(F.count_distinct("src").alias("ready"), F.max(F.col("v") % 5).cast("long").alias("expected"))
@@ -465,9 +513,7 @@ def incomplete_outputs(spark, d):
 
 def _resample(spark, d, mode):
     t = derived.tiles(spark, d)
-    corners = catalog.corner_nodes(derived.grid_nodes(t)).groupBy("id", "ix", "iy", "iz").agg(F.sort_array(F.collect_list(F.struct("b", "x", "y", "z"))).alias("cs"))
-    flat = F.flatten(F.transform("cs", lambda c: F.array(c["x"], c["y"], c["z"])))
-    cells = catalog.subtiles(derived.grid_nodes(t)).join(corners.select("id", "ix", "iy", "iz", flat.alias("corners")), ["id", "ix", "iy", "iz"])
+    cells = catalog.subtiles(derived.grid_nodes(t), corners=True)
     tile = F.struct("id", "ix", "iy", "iz", "corners", "orientation")
     hits = spatial.spatial_join(cells.select(tile.alias("id"), *BOX), _leaves(spark, d).select(F.struct("path", *BOX).alias("id"), *BOX))
     pairs = hits.select("a_id.*", F.col("b_id.path").alias("path"), *[F.col(f"b_id.{c}").alias(c) for c in BOX])
@@ -495,11 +541,11 @@ FLAGSHIP = "leaf_tile_count"
 QUERIES = {
     f.__name__: f
     for f in (
-        leaf_tile_count, tile_catalog, load_tiles, tile_count, tile_attrs, grid_validate, grid_validate_shared, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
-        leaf_shape_search, transform_params, roi_box, roi_from_morton, tiles_in_roi, subtile_corners, subtile_aabb, leaf_transform, subtile_slice, morton_decode, face_paths, quadtree_to_xy,
+        leaf_tile_count, tile_catalog, load_tiles, stack_range, tile_count, tile_attrs, grid_validate, grid_validate_shared, aabb_hit, aabb_set, aabb_volume, aabb_union_pair, aabb_union, octree_subdivide, kd_halve, is_leaf, plan_nlevels,
+        leaf_shape_search, transform_params, roi_box, roi_from_morton, tiles_in_roi, roi_scan, subtile_corners, subtile_aabb, leaf_transform, subtile_slice, morton_decode, face_paths, quadtree_to_xy,
         face_leaf_stack, face_stack_voxels, crop_range, scale_clamp, path_ops, octal_digits, human_readable, string_scalars, math_scalars, array_scalars, leaf_tile_overlap, solo_leaves,
         octree_descend, subtiles_per_leaf, tiles_per_box, kd_jobs, tile_locality_order, max_merge, max_merge_bricks, merge_octrees, exclude_nodes, downsample_first, downsample_mean, downsample_second,
-        downsample_nth_nonzero, octree_pyramid, custom_udaf, channel_subtract, project_max, project_p999, project_median_max, project_second, mosaic, gaussian_downsample, octree_listing,
-        leaf_only_scan, face_listing, log_scan, stage_profile, profile_bar, log_counts, timing_rollup, monitor_scan, cluster_series_sum, node_rates, incomplete_outputs, resample_nearest, resample_linear,
+        downsample_nth_nonzero, octree_pyramid, pyramid_refresh, custom_udaf, channel_subtract, project_max, project_p999, project_median_max, project_second, mosaic, gaussian_downsample, octree_listing,
+        leaf_only_scan, face_listing, log_scan, stage_profile, profile_bar, log_counts, timing_rollup, monitor_scan, cluster_series_sum, node_rates, node_rates_stream, incomplete_outputs, resample_nearest, resample_linear,
     )
 }

@@ -81,10 +81,13 @@ def corner_nodes(nodes: DataFrame) -> DataFrame:
     return each.select("id", *[F.col(f"j{a}").alias(f"i{a}") for a in AXES], "b", *AXES)
 
 
-def subtiles(nodes: DataFrame) -> DataFrame:
-    """(id, ix, iy, iz, box, orientation): each sub-tile's box from its corners, not from the tile's own."""
-    box = [F.min(a).alias(f"o{a}") for a in AXES] + [(F.max(a) - F.min(a)).alias(f"s{a}") for a in AXES]
-    out = corner_nodes(nodes).groupBy("id", "ix", "iy", "iz").agg(*box)
+def subtiles(nodes: DataFrame, corners: bool = False) -> DataFrame:
+    """(id, ix, iy, iz, box, orientation): each sub-tile's box from its corners, not from the tile's own; with ``corners`` also these, as 24 numbers."""
+    found = [F.min(a).alias(f"o{a}") for a in AXES] + [(F.max(a) - F.min(a)).alias(f"s{a}") for a in AXES]
+    if corners:
+        eight = F.sort_array(F.collect_list(F.struct("b", *AXES)))
+        found.append(F.flatten(F.transform(eight, lambda c: F.array(c["x"], c["y"], c["z"]))).alias("corners"))
+    out = corner_nodes(nodes).groupBy("id", "ix", "iy", "iz").agg(*found)
     return out.withColumn("orientation", F.when((F.col("ix") + F.col("iy") + F.col("iz")) % 2 == 1, 90).otherwise(0))
 
 
