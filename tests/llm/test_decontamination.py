@@ -60,6 +60,29 @@ def test_hits_equal_brute_force(spark):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
+def test_blocks_of_items_change_nothing(spark):
+    """Items share passages, so what a window holds of the benchmark is not only its block's."""
+    rng = np.random.default_rng(12)
+    word = lambda: f"w{rng.integers(10**6)}"
+    common = [[word() for _ in range(30)] for _ in range(4)]
+    items = [(i, " ".join([*(word() for _ in range(40)), *common[i % 4][: rng.integers(8, 20)]])) for i in range(24)]
+    docs = []
+    for i, (_, text) in enumerate(items):
+        own = text.split()
+        for cut in (0, 5, 7, 9):
+            # the item, with its last words replaced by those of a passage that others hold
+            docs.append((len(docs), " ".join([word() for _ in range(9)] + own[: len(own) - cut] + common[(i + 1) % 4][:cut] + [word() for _ in range(9)])))
+    docs += [(len(docs) + k, f"{' '.join(c)} and more of {word()}") for k in range(30) for c in (common[k % 4],)]
+    frame, bench = spark.createDataFrame(docs + docs[:5], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs + docs[:5], items)
+    seen = []
+    for size in (1, 7, 1000):
+        rows = sorted(tuple(r) for r in de.contaminated(frame, bench, block_items=size).collect())
+        assert {(d, i) for d, i, *_ in rows} == want.keys() and all(abs(v - want[d, i]) < 1e-9 for d, i, v, *_ in rows)
+        seen.append(rows)
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > len({r[:2] for r in seen[0]}) > 24
+
+
 def test_edges(spark):
     item = " ".join(f"w{i}" for i in range(40))
     changed = item.replace("w1 ", "x ")
@@ -119,6 +142,7 @@ def test_copies_of_an_item_in_a_third_of_the_documents_are_found():
     for i in common:
         df[np.searchsorted(items.known, items.sets[i])] = 160_000 // 3
     items.weigh(df, 160_000, de.RADIUS)
+    weight = de.weights_of(df, 160_000)
     pairs = 0
     for i in [*common, *range(100, 120)]:
         for changed in range(4):
@@ -127,8 +151,8 @@ def test_copies_of_an_item_in_a_third_of_the_documents_are_found():
                 for j in range(changed):
                     copy[j if front else -1 - j] = word()
                 g = sh.grams(de._words(text := " ".join([word() for _ in range(20)] + copy + [word() for _ in range(20)]))[0], 5)
-                best = max(items.similarity(np.unique(g[s : s + 35]), i) for s in range(len(g) - 34))
-                got = {m[0]: m[1] for m in de.matches(text, items, 0.8)}
+                best = max(items.similarity(np.unique(g[s : s + 35]), i, items.known, weight) for s in range(len(g) - 34))
+                got = {m[0]: m[1] for m in de.matches(text, items, 0.8, items.known, weight)}
                 assert best >= 0.8 and abs(got.get(i, 0) - best) < 1e-9, (i, changed, front)
                 pairs += 1
     assert pairs == 320

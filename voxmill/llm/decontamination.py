@@ -10,7 +10,8 @@ flips, so that any fingerprint within the radius agrees in one block at least. C
 radius are then checked by weighted Jaccard similarity of their shingles.
 
 The benchmark is taken in blocks of about ``block_items`` items or ``block_bytes`` bytes, so what a task holds of it is
-bounded whatever its size. Texts are scanned once per block and never shuffled.
+bounded whatever its size. Texts are scanned once per block; those that hold anything of the benchmark are shuffled by their hash, together with all
+shingles of the whole benchmark that they hold and the weights of these. So results don't depend on how items fall into blocks.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm import shingles as sh
-from voxmill.llm.common import numbered, pick, ranges_of, small_batches, stored, text_or_empty
+from voxmill.llm.common import numbered, pick, small_batches, stored, text_or_empty
 
 BITS, BLOCKS = 64, 8
 RADIUS = 22
@@ -65,6 +66,10 @@ def window_sums(rows: np.ndarray, h: np.ndarray, n: int, starts: np.ndarray) ->
     return out
 
 
+def weights_of(df: np.ndarray, documents: int) -> np.ndarray:
+    return np.log1p(documents / np.maximum(df, 1))
+
+
 class Items:
     """A block of benchmark items: shingles by item, and, per window size, the multi-index of fingerprints."""
 
@@ -81,9 +86,9 @@ class Items:
         self.short = sorted({n for n in self.sizes if n < k})
 
     def weigh(self, df: np.ndarray, documents: int, radius: int) -> None:
-        """Weights ln(1 + documents / df) of the known shingles, and the index that follows from them."""
-        self.weight, self.radius = np.log1p(documents / np.maximum(df, 1)), radius
-        self.weights = [self.weight[np.searchsorted(self.known, s)] for s in self.sets]
+        """The weights of the block's shingles, and the index that follows from them."""
+        weight, self.radius = weights_of(df, documents), radius
+        self.weights = [weight[np.searchsorted(self.known, s)] for s in self.sets]
         self.other = [float(w.mean()) for w in self.weights]
         self.total = np.array([w.sum() for w in self.weights])
         prints = np.array([int(simhash(((bits_of(s) * 2.0 - 1) * votes_of(w)[:, None]).sum(0, keepdims=True))[0]) for s, w in zip(self.sets, self.weights, strict=True)], np.uint64)
@@ -116,14 +121,12 @@ class Items:
         window, item = np.divmod(np.unique(np.concatenate(keys)), n)
         return window, item, np.bitwise_count(prints[window] ^ own[item])
 
-    def similarity(self, window: np.ndarray, item: int) -> float:
-        """Weighted Jaccard of a window's distinct shingles and an item's; a shingle of no item weighs as the item's mean."""
+    def similarity(self, window: np.ndarray, item: int, known: np.ndarray, weight: np.ndarray) -> float:
+        """Weighted Jaccard of a window's distinct shingles and an item's; a shingle of no item of the benchmark weighs as the item's mean."""
         own = self.sets[item]
         shared = np.isin(own, window, assume_unique=True)
-        at = np.searchsorted(self.known, window)
-        at[at == len(self.known)] = 0
-        known = self.known[at] == window
-        union = self.weights[item].sum() + np.where(known, self.weight[at], self.other[item]).sum() - self.weights[item][shared].sum()
+        at, is_known = _found(window, known)
+        union = self.weights[item].sum() + np.where(is_known, weight[at], self.other[item]).sum() - self.weights[item][shared].sum()
         return float(self.weights[item][shared].sum() / union)
 
 
@@ -132,24 +135,28 @@ def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
     return sh.words(raw, np.array([0, len(raw)]))
 
 
-def _known_flags(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+def _found(h: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``known``, whether it is there) of each hash; ``known`` is not empty."""
     at = np.searchsorted(known, h)
     at[at == len(known)] = 0
-    return known[at] == h if len(known) else np.zeros(len(h), bool)
+    return at, known[at] == h
+
 
+def matches(text: str, items: Items, threshold: float, known: np.ndarray, weight: np.ndarray) -> list[tuple[int, float, int, int, int]]:
+    """(item, similarity, first word, words, distance) of the best window per item at or over the threshold.
 
-def matches(text: str, items: Items, threshold: float) -> list[tuple[int, float, int, int, int]]:
-    """(item, similarity, first word, words, distance) of the best window per item at or over the threshold."""
+    known, weight: the benchmark's shingles that the text holds, ascending, and their weights.
+    """
     w, _ = _words(text)
     best: dict[int, tuple] = {}
     flags, grams = {}, {}
-    for size in items.by_size:
+    for size in items.by_size if len(known) else ():
         k, span = min(items.k, size), min(size, len(w))
         if span < k or not span:
             continue
         if k not in grams:
             grams[k] = sh.grams(w, k)
-            flags[k] = np.append(0, np.cumsum(_known_flags(grams[k], items.known)))
+            flags[k] = np.append(0, np.cumsum(_found(grams[k], known)[1]))
         n = span - k + 1
         every = np.flatnonzero(flags[k][n:] > flags[k][:-n])
         # runs of near window starts, so that a long text is never held as votes at once
@@ -157,12 +164,10 @@ def matches(text: str, items: Items, threshold: float) -> list[tuple[int, float,
             if not len(starts):
                 continue
             h = grams[k][starts[0] : starts[-1] + n]
-            at = np.searchsorted(items.known, h)
-            at[at == len(items.known)] = 0
-            known = items.known[at] == h
-            weight = np.where(known, items.weight[at], 0.0)
+            at, is_known = _found(h, known)
+            own = np.where(is_known, weight[at], 0.0)
             # what a window shares with an item weighs no more than all it holds of the benchmark
-            held = np.append(0.0, np.cumsum(weight))
+            held = np.append(0.0, np.cumsum(own))
             held = held[starts - starts[0] + n] - held[starts - starts[0]]
             enough = held >= threshold * items.least[size] - 1e-6
             starts, held, first = starts[enough], held[enough], starts[0]
@@ -170,16 +175,16 @@ def matches(text: str, items: Items, threshold: float) -> list[tuple[int, float,
                 continue
             local = starts - first
             bits = bits_of(h) * 2.0 - 1
-            votes = window_sums(bits * votes_of(weight)[:, None], h, n, local)
-            if not known.all():
-                counts = np.append(0, np.cumsum(known))
+            votes = window_sums(bits * votes_of(own)[:, None], h, n, local)
+            if not is_known.all():
+                counts = np.append(0, np.cumsum(is_known))
                 mean = held / np.maximum(counts[local + n] - counts[local], 1)
-                votes += window_sums(bits * ~known[:, None], h, n, local) * votes_of(mean)[:, None]
+                votes += window_sums(bits * ~is_known[:, None], h, n, local) * votes_of(mean)[:, None]
             window, item, distance = items.candidates(size, simhash(votes))
             able = held[window] >= threshold * items.total[item] - 1e-6
             for x, i, d in zip(window[able], item[able], distance[able], strict=True):
                 s = int(starts[x])
-                value = items.similarity(np.unique(grams[k][s : s + n]), int(i))
+                value = items.similarity(np.unique(grams[k][s : s + n]), int(i), known, weight)
                 if value >= threshold and (int(i) not in best or (-value, s) < best[int(i)][:2]):
                     best[int(i)] = (-value, s, span, int(d))
     return [(items.ids[i], -v, s, span, d) for i, (v, s, span, d) in sorted(best.items())]
@@ -198,17 +203,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: f
     blocks = max(1, -(-n_items // block_items), -(-n_bytes // block_bytes))
     dealt = pick(benchmark, "item_id", "text").withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     whole = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    n_docs = docs.count()
+    n_docs = max(docs.count(), 1)
+    # a block is a part of the benchmark that is bounded in items and in bytes
+    block_of = lambda block: Items([(r.item_id, r.text) for r in dealt.where(F.col("block") == block).orderBy("item_id", "text").collect()], k)
+    found = None
+    for block in range(blocks):
+        one = _touched(whole, block_of(block))
+        found = one if found is None else found.unionByName(one)
+    texts, df = _with_weights(found, n_docs)
     out = None
     for block in range(blocks):
-        # one block: a part of the benchmark that is bounded in items and in bytes
-        items = Items([(r.item_id, r.text) for r in dealt.where(F.col("block") == block).orderBy("item_id", "text").collect()], k)
-        hits = _hits(whole, items, n_docs, threshold, radius)
+        items = block_of(block)
+        known = spark.createDataFrame(pa.table({"x": items.known.view(np.int64)}))
+        counts = df.join(known, "x").toArrow()  # at most one row per shingle of the block
+        own = np.zeros(len(items.known), np.int64)
+        own[np.searchsorted(items.known, counts["x"].to_numpy().view(np.uint64))] = counts["df"].to_numpy()
+        items.weigh(own, n_docs, radius)
+        hits = _hits(texts, items, threshold)
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
-def _hits(whole: DataFrame, items: Items, n_docs: int, threshold: float, radius: int) -> DataFrame:
+def _touched(whole: DataFrame, items: Items) -> DataFrame:
+    """(a, b, doc_id, text, found) of the texts with a shingle of these items: two hashes of id and text, and those shingles."""
+
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.zeros(1 << 20, bool)
         bitmap[items.known & np.uint64((1 << 20) - 1)] = True
@@ -219,11 +237,11 @@ def _hits(whole: DataFrame, items: Items, n_docs: int, threshold: float, radius:
                 w, starts = sh.words(data, offsets)
                 seen: dict[int, list] = {}
                 for k in sizes:
-                    if len(w) < k:
+                    if len(w) < k or not len(items.known):
                         continue
                     h = sh.grams(w, k)
                     at = np.flatnonzero(bitmap[h & np.uint64((1 << 20) - 1)])
-                    at = at[_known_flags(h[at], items.known)]
+                    at = at[_found(h[at], items.known)[1]]
                     owner = np.searchsorted(starts, at, "right") - 1
                     inside = at + k <= starts[owner + 1]
                     for i, x in zip(owner[inside], at[inside], strict=True):
@@ -234,22 +252,36 @@ def _hits(whole: DataFrame, items: Items, n_docs: int, threshold: float, radius:
             picked = b.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([picked.column("doc_id"), picked.column("text"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "text", "found"])
 
-    rows = stored(whole.mapInArrow(touched, "doc_id long, text string, found array<long>"), "touched")
-    df = np.zeros(len(items.known), np.int64)
-    # at most one row per shingle of the block
-    for r in rows.select(F.explode("found").alias("x")).groupBy("x").count().collect():
-        df[np.searchsorted(items.known, np.array([r.x]).view(np.uint64))[0]] = r["count"]
-    items.weigh(df, max(n_docs, 1), radius)
+    keys = [F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", "doc_id", F.lit(5)).alias("b")]
+    rows = whole.mapInArrow(touched, "doc_id long, text string, found array<long>").select(*keys, "doc_id", "text", "found")
+    return stored(rows.groupBy("a", "b").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("times"), F.first("found").alias("found")), "touched")
+
+
+def _with_weights(found: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, times, known, weight) of all touched texts, known ascending; and (x, df): the documents that hold each shingle."""
+    each = found.select("a", "b", "times", F.explode("found").alias("x")).distinct()
+    df = stored(each.groupBy("x").agg(F.sum("times").alias("df")), "frequencies")
+    weight = F.log1p(F.lit(float(n_docs)) / F.greatest(F.col("df"), F.lit(1)))
+    of_text = each.join(df, "x").groupBy("a", "b").agg(F.collect_list(F.struct("x", weight.alias("w"))).alias("xs"))  # at most one entry a shingle of the text
+    texts = found.groupBy("a", "b").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.max("times").alias("times"))
+    joined = texts.join(of_text, ["a", "b"])
+    return stored(joined.select("doc_id", "text", "times", F.col("xs.x").alias("known"), F.col("xs.w").alias("weight")), "texts"), df
+
 
+def _hits(texts: DataFrame, items: Items, threshold: float) -> DataFrame:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in HITS.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
+        names = [*(x.split()[0] for x in HITS.split(", ")), "times"]
+        types = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
         for b in batches:
-            out = [(d, *m) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) for m in matches(t, items, threshold)]
+            out = []
+            for d, t, n, x, w in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "times")), b.column("known"), b.column("weight"), strict=True):
+                known, weight = x.values.to_numpy().view(np.uint64), w.values.to_numpy()
+                order = np.argsort(known)
+                out += [(d, *m, n) for m in matches(t, items, threshold, known[order], weight[order])]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
 
-    # a few files may hold most of the touched texts, so they are dealt anew, by their text
-    return rows.select("doc_id", "text").repartition(ranges_of(whole.sparkSession), F.xxhash64("doc_id", "text")).mapInArrow(windows, HITS)
+    hits = texts.mapInArrow(windows, f"{HITS}, times long")
+    return hits.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
