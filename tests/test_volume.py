@@ -108,6 +108,29 @@ def test_nth_falls_back_to_the_dimmest(spark):
     assert {r.x: r.v for r in merge.downsample(v, "nth_nonzero").collect()} == {0: 4, 1: 0}
 
 
+@pytest.mark.parametrize("steps", [1, 2, 5, None])
+def test_jobs_are_those_of_plain_halving(spark, steps):
+    """However many halvings a round takes."""
+    queries.checkpoints(spark)
+    rng = np.random.default_rng(2)
+    rows = [(i, *(int(rng.integers(0, m)) for m in (37, 500, 64)), 1, 1, 1) for i in range(400)] + [(900 + i, 3, 3, 3, 1, 1, 1) for i in range(30)]
+    tiles = spark.createDataFrame(rows, "id long, ox long, oy long, oz long, sx long, sy long, sz long")
+
+    def halve(box, inside):
+        if len(inside) <= 20 or max(box[3:]) == 1:
+            return [(*box, len(inside))] if inside else []
+        a = int(np.argmax(box[3:]))
+        low, cut = list(box), box[a] + box[3 + a] // 2
+        high = list(box)
+        low[3 + a], high[a], high[3 + a] = box[3 + a] // 2, cut, box[3 + a] - box[3 + a] // 2
+        return halve(low, [t for t in inside if t[a] < cut]) + halve(high, [t for t in inside if t[a] >= cut])
+
+    root = (0, 0, 0, 37, 500, 64)
+    box = spark.createDataFrame([root], ", ".join(f"{c} long" for c in g.BOX))
+    got = sorted(tuple(r[c] for c in (*g.BOX, "ntiles")) for r in spatial.kd_jobs(tiles, box, 20, steps=steps).collect())
+    assert got == sorted(map(tuple, halve(list(root), [r[1:4] for r in rows])))
+
+
 def test_tiff_round_trip():
     stack = np.arange(2 * 3 * 5, dtype=np.uint16).reshape(2, 3, 5) * 2000
     assert np.array_equal(tiff.decode(tiff.encode(stack)), stack)

@@ -43,7 +43,8 @@ def descend(tiles: DataFrame, box: DataFrame, depth: int, leaves_only: bool = Fa
         path = F.when(F.col("path") == "", F.col("digit").cast("string")).otherwise(F.concat_ws("/", "path", F.col("digit").cast("string")))
         new = each.select("tile.*", path.alias("path"), (F.col("level") + 1).alias("level"), (F.col("morton") * 8 + F.col("digit") - 1).alias("morton"), *[b[c].alias(c) for c in BOX])
         hit = F.expr(" AND ".join(f"least(to{x} + ts{x}, o{x} + s{x}) > greatest(to{x}, o{x})" for x in AXES))
-        found.append(new.where(hit))
+        # every level is a result as well, so it isn't computed again for those below it
+        found.append(new.where(hit) if leaves_only else new.where(hit).checkpoint())
     return found[-1] if leaves_only else reduce(DataFrame.unionByName, found)
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voxmill.functions.geometry import AXES, BOX, aabb_contains_origin, aabb_hit, halved
+from voxmill.functions.geometry import AXES, BOX, aabb_contains_origin, aabb_hit
 
 #: A side goes out whole to every task only up to this many rows, which are counted first.
 BROADCAST_ROWS = 500
@@ -72,45 +74,60 @@ def in_box(tiles: DataFrame, box: DataFrame, outside: bool = False) -> DataFrame
     return tiles.alias("t").join(F.broadcast(box.alias("r")), rule).select("t.*")
 
 
-def _half_of_tile(held: DataFrame, kept: list[str]) -> DataFrame:
-    """The box columns become the half of the box, along its longest axis, that a tile (tx, ty, tz) begins in; null where the box has side 1."""
-    low, upper = halved(F.lit(False)), F.lit(False)
-    for x in AXES:
-        # a half differs from its box on one axis, where the upper one begins after the lower
-        upper = upper | ((low[f"s{x}"] < F.col(f"s{x}")) & (F.col(f"t{x}") >= F.col(f"o{x}") + low[f"s{x}"]))
-    split, half = held.withColumn("upper", upper), halved(F.col("upper"))
-    alive = F.greatest(*[f"s{x}" for x in AXES]) > 1
-    return split.select(*[f"t{x}" for x in AXES], *kept, *[F.when(alive, half[c]).cast("long").alias(c) for c in BOX])
+def _halving(state: Column, upper: Callable[[Column, Column, Column], Column]) -> Column:
+    """The half of a box (a struct of BOX, bits, n) along its longest axis, the first of equal ones; a box of side 1 stays.
+
+    upper: whether it is the upper half, given the axis as a number and where the upper half begins.
+    """
+    side = {x: state[f"s{x}"] for x in AXES}
+    axis = F.when((side["x"] >= side["y"]) & (side["x"] >= side["z"]), 0).when(side["y"] >= side["z"], 1).otherwise(2)
+    low = F.shiftright(F.greatest(*side.values()), 1)
+    begin = F.when(axis == 0, state["ox"]).when(axis == 1, state["oy"]).otherwise(state["oz"]) + low
+    up = upper(axis, begin, state)
+    fields = [F.when(axis == k, F.when(up, begin)).otherwise(None) for k in range(3)]
+    new = [F.coalesce(f, state[f"o{x}"]).alias(f"o{x}") for f, x in zip(fields, AXES, strict=True)]
+    new += [F.when(axis == k, F.when(up, side[x] - low).otherwise(low)).otherwise(side[x]).alias(f"s{x}") for k, x in enumerate(AXES)]
+    half = F.struct(*new, (state["bits"] * 2 + up.cast("long")).alias("bits"), (state["n"] + 1).alias("n"))
+    return F.when(F.greatest(*side.values()) > 1, half).otherwise(state)
+
+
+def _start() -> Column:
+    return F.struct(*[F.col(c).cast("long").alias(c) for c in BOX], F.lit(0).cast("long").alias("bits"), F.lit(0).alias("n"))
 
 
-def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64, steps: int = 3) -> DataFrame:
+def kd_jobs(tiles: DataFrame, root: DataFrame, most: int, rounds: int = 64, steps: int | None = None) -> DataFrame:
     """Boxes with at most ``most`` tile origins each (or of side 1), and their counts; empty ones are left out.
 
-    A round halves every overfull box ``steps`` times along its longest axis and counts the tiles of all of these halves in one
-    aggregation with partial sums, as each tile is in one box of each step. Tiles of finished boxes drop out.
+    A round follows each tile down as many halvings as its number makes likely (or ``steps``), as bits of one number, and counts tiles by
+    their bits; the counts of all boxes in between are sums of these. Only tiles of boxes that are overfull even then go on to another round.
     """
     held = tiles.alias("t").join(F.broadcast(root.alias("r")), aabb_hit("t", "r") & aabb_contains_origin("r", "t"))
-    held = held.select(*[F.col(f"t.o{x}").alias(f"t{x}") for x in AXES], *[F.col(f"r.{c}").cast("long").alias(c) for c in BOX]).checkpoint()
-    full = (F.col("ntiles") > most) & (F.greatest("sx", "sy", "sz") > 1)
-    counted = held.groupBy(*BOX).agg(F.count("*").alias("ntiles")).withColumn("full", full).checkpoint()
-    done = counted.where("NOT full").drop("full")
+    held = held.select(F.lit("").alias("base"), *[F.col(f"t.o{x}").alias(f"t{x}") for x in AXES], *[F.col(f"r.{c}").cast("long").alias(c) for c in BOX])
+    whole = held.groupBy(*BOX).agg(F.count("*").alias("ntiles")).checkpoint()
+    open_ = (F.col("ntiles") > most) & (F.greatest("sx", "sy", "sz") > 1)
+    done = whole.where(~open_)
+    n = whole.where(open_).agg(F.coalesce(F.sum("ntiles"), F.lit(0))).first()[0]
     for _ in range(rounds):
-        if not counted.where("full").limit(1).count():
+        if not n:
             return done
-        held = held.join(counted.where("full").select(*BOX), BOX)
-        names = [f"b{j}" for j in range(steps + 1)]
-        for j in range(steps):
-            held = _half_of_tile(held.withColumn(names[j], F.struct(*BOX)), names[: j + 1])
-        held = held.withColumn(names[steps], F.struct(*BOX)).checkpoint()
-        each = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col(names[j]).alias("box"), F.col(names[j - 1]).alias("parent")) for j in range(1, steps + 1)]))
-        boxes = held.select(each.alias("e")).where("e.box.sx IS NOT NULL").groupBy("e.j", "e.box", "e.parent").agg(F.count("*").alias("ntiles"))
-        boxes = boxes.select("j", "parent", "box.*", "ntiles").withColumn("full", full).checkpoint()
-        above = boxes.where("full").select((F.col("j") + 1).alias("j"), F.struct(*BOX).alias("parent"))
-        ready = boxes.where("NOT full")
-        # what an overfull box was cut into; the halves of a finished one are no jobs
-        done = done.unionByName(ready.where("j = 1").select(*BOX, "ntiles")).unionByName(ready.join(above, ["j", "parent"], "left_semi").select(*BOX, "ntiles"))
-        counted = boxes.where(F.col("j") == steps)
-        held = held.select(*[f"t{x}" for x in AXES], *BOX).where("sx IS NOT NULL")
+        depth = steps or min(48, max(4, (n // most).bit_length() + 3))
+        own = lambda axis, begin, _: F.when(axis == 0, F.col("tx")).when(axis == 1, F.col("ty")).otherwise(F.col("tz")) >= begin
+        walk = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), _start(), lambda state, _: _halving(state, own))
+        walked = held.withColumn("w", walk)
+        cells = walked.groupBy("base", *BOX, "w.bits", "w.n").agg(F.count("*").alias("ntiles"))
+        each = cells.select("base", *BOX, "ntiles", "bits", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("j"))
+        boxes = each.groupBy("base", *BOX, "j", F.expr("shiftright(bits, n - j)").alias("p")).agg(F.sum("ntiles").alias("ntiles"))
+        # the box that the bits lead to
+        replay = F.aggregate(F.sequence(F.lit(1), F.col("j")), _start(), lambda state, i: _halving(state, lambda axis, begin, st: F.call_function("shiftright", F.col("p"), F.col("j") - i) % 2 == 1))
+        boxes = boxes.withColumn("w", replay).select("base", "j", "p", "ntiles", *[F.col(f"w.{c}").alias(c) for c in BOX]).withColumn("full", open_).checkpoint()
+        above = boxes.where("full").select("base", (F.col("j") + 1).alias("j"), F.col("p").alias("up"))
+        ready = boxes.where("NOT full").withColumn("up", F.shiftright("p", 1))
+        done = done.unionByName(ready.where("j = 1").select(*BOX, "ntiles")).unionByName(ready.join(above, ["base", "j", "up"], "left_semi").select(*BOX, "ntiles"))
+        over = boxes.where(F.col("full") & (F.col("j") == depth)).select("base", F.col("p").alias("bits"), "ntiles")
+        n = over.agg(F.coalesce(F.sum("ntiles"), F.lit(0))).first()[0]
+        if n:
+            again = walked.withColumn("bits", F.col("w.bits")).where(F.col("w.n") == depth).join(over.select("base", "bits"), ["base", "bits"])
+            held = again.select(F.concat_ws("/", "base", F.col("bits").cast("string")).alias("base"), *[f"t{x}" for x in AXES], *[F.col(f"w.{c}").alias(c) for c in BOX]).checkpoint()
     raise RuntimeError("boxes did not shrink")
 
 

@@ -319,6 +319,7 @@ def solo_leaves(spark, d):
 
 
 def octree_descend(spark, d):
+    checkpoints(spark)
     return octree.descend(derived.boxes(spark, d), _bbox(spark, d), DEPTH).groupBy("path", "level").agg(F.count("*").alias("ntiles"))
 
 
