@@ -185,6 +185,23 @@ def test_catalogue(spark, tmp_path):
         assert [(r.id, r.sx, r.bad) for r in got] == [(1, 10, []), (2, 10, ["xlims_even"]), (3, 10, ["xlims_even", "zlims_inside"])]
 
 
+def test_a_catalogue_is_parsed_in_parts(spark, tmp_path):
+    """Ids follow the file's order, wherever it is split."""
+    item = "- path: /t/{0}\n  aabb: {{ori: [{0}, 2, 3], shape: [10, 10, 10]}}\n  shape: {{type: u16, dims: [16, 32, 64, 1]}}\n  grid:\n    xlims:\n    - 0\n    - 7\n    ylims: [0, 31]\n    zlims: [0, 63]\n    coordinates: [1, 2, 3]\n"
+    (tmp_path / "c.yml").write_text("path: /data\ntiles:\n" + "".join(item.format(i) for i in range(1, 801)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in zip(before, ("10000", "1"), strict=True):
+            spark.conf.set(k, v)
+        tiles = catalog.read_yaml(spark, str(tmp_path / "c.yml"))
+        got = tiles.orderBy("id").select("id", "ox", "path", "xlims").collect()
+        assert spark.read.text(str(tmp_path / "c.yml")).rdd.getNumPartitions() > 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [(r.id, r.ox, r.path, r.xlims) for r in got] == [(i, i, f"/t/{i}", [0, 7]) for i in range(1, 801)]
+
+
 def test_log_archive_and_stream(spark, tmp_path):
     lines = ["[ Info: PEON: merging multiple took 1.50 sec", "nothing", "[ WARNING: x"]
     with tarfile.open(tmp_path / "l.tar.gz", "w:gz") as tar:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from voxmill.sources import stacks
+
 
 @dataclass(frozen=True)
 class EngineConfig:
@@ -19,6 +21,9 @@ class EngineConfig:
     interpolation: str = "nearest"
     #: a key of ``bricks.REDUCERS``, or a function of the same kind
     downsampling: str | Callable = "first"
+    #: (spark, folder) -> pages as in ``stacks.PAGES``, of the tiles' stacks; and (pages, folder), which writes the nodes' stacks
+    read_stacks: Callable = stacks.load
+    write_stacks: Callable = stacks.save
 
 
 @dataclass(frozen=True)

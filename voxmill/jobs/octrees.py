@@ -149,14 +149,14 @@ def leaf_bricks(tiles: DataFrame, cut: DataFrame, box: DataFrame, p: Plan, confi
     return bricks.merged_but_solo(parts, "shared", NODE)
 
 
-def save_nodes(dense: DataFrame, nodes: DataFrame, p: Plan, channels: int, out: str) -> None:
-    """One TIFF stack per node and channel, those without a lit voxel as well."""
+def save_nodes(dense: DataFrame, nodes: DataFrame, p: Plan, config: EngineConfig, out: str) -> None:
+    """One stack per node and channel, those without a lit voxel as well."""
     first = [F.lit(0).alias(a) for a in bricks.PLACE]
-    dark = nodes.select("path").distinct().select("path", F.explode(F.sequence(F.lit(0), F.lit(channels - 1))).alias("c"), *first, F.lit(bytes(2 * bricks.CELLS)).alias("data"))
+    dark = nodes.select("path").distinct().select("path", F.explode(F.sequence(F.lit(0), F.lit(config.nchannels - 1))).alias("c"), *first, F.lit(bytes(2 * bricks.CELLS)).alias("data"))
     name = F.concat_ws("/", F.when(F.col("path") != "", F.col("path")), F.lit("default"))
     # a dark first brick for each node comes before its own
     both = dense.select("path", "c", *bricks.PLACE, "data").unionByName(dark).select(name.alias("path"), "c", *bricks.PLACE, "data")
-    stacks.save(stacks.slabs(both, p.leaf_px), out)
+    config.write_stacks(stacks.slabs(both, p.leaf_px), out)
 
 
 def rebuild_upper(spark: SparkSession, config: EngineConfig, p: Plan, out: str) -> None:
@@ -170,7 +170,7 @@ def rebuild_upper(spark: SparkSession, config: EngineConfig, p: Plan, out: str)
     above = there.select("path", levels.alias("level")).select(F.array_join(F.slice(F.split("path", "/"), F.lit(1), F.col("level")), "/").alias("path"))
     if p.nlevels:
         upper = bricks.pyramid(leaves, p.nlevels, config.downsampling, NODE, ("path", p.leaf_px))[:-1]
-        save_nodes(bricks.at_level(upper), above, p, config.nchannels, out)
+        save_nodes(bricks.at_level(upper), above, p, config, out)
 
 
 def build(spark: SparkSession, config: EngineConfig, catalogue: str, tiles_folder: str, out: str) -> Plan:
@@ -178,7 +178,7 @@ def build(spark: SparkSession, config: EngineConfig, catalogue: str, tiles_folde
 
     Node images are at ``<digit>/<digit>/default.<channel>.tif``. Tiles that break a rule of the grid stop the job.
     """
-    tiles = catalog.read_yaml(spark, catalogue)
+    tiles = catalog.read_yaml(spark, catalogue, f"{out}/tiles.parquet")
     broken = tiles.select("path", catalog.violations().alias("broken")).where(F.size("broken") > 0).limit(5).collect()
     broken += catalog.shared_violations(tiles).where("broken").collect()  # a row per rule
     if broken:
@@ -187,12 +187,11 @@ def build(spark: SparkSession, config: EngineConfig, catalogue: str, tiles_folde
     box = spark.createDataFrame([(*p.origin, *p.shape)], ", ".join(f"{c} long" for c in BOX))
     own = assigned(tiles, config)
     spatial.in_descending_order(spatial.kd_jobs(own, box, config.max_tilechannels_per_job // config.nchannels)).write.mode("overwrite").parquet(f"{out}/jobs.parquet")
-    tiles.write.mode("overwrite").parquet(f"{out}/tiles.parquet")
     nodes = nodes_of(own, box, p.nlevels).checkpoint()
-    cut = blocks(pieces(stacks.load(spark, tiles_folder), own))
+    cut = blocks(pieces(config.read_stacks(spark, tiles_folder), own))
     leaves = leaf_bricks(own, cut, box, p, config).checkpoint()
     levels = bricks.pyramid(leaves, p.nlevels, config.downsampling, NODE, ("path", p.leaf_px))
-    save_nodes(bricks.at_level(levels), nodes, p, config.nchannels, out)
+    save_nodes(bricks.at_level(levels), nodes, p, config, out)
     known = {k: v if isinstance(v, (str, int, float, tuple, bool)) else getattr(v, "__name__", str(v)) for k, v in asdict(config).items()}
     write_text(spark, f"{out}/calculated_parameters.json", json.dumps(known | asdict(p) | {"version": voxmill.__version__}, indent=1))
     write_text(spark, f"{out}/transform.txt", transform_text(p))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voxmill.functions.geometry import AXES
 
@@ -20,25 +24,40 @@ def _modified(spark: SparkSession, path: str) -> float:
     return fs.getFileStatus(place).getModificationTime() / 1000 if fs.exists(place) else 0.0
 
 
+def _parsed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The tiles among records of a catalogue, each of which is an item of its list or the lines before it."""
+    import yaml
+
+    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    for f in frames:
+        rows = []
+        for block, at, text in zip(f.block, f["at"], f.value, strict=True):
+            t = yaml.load(f"- {text}", Loader=loader)[0] if "aabb" in text else None
+            if isinstance(t, dict) and "aabb" in t:
+                rows.append((block, at, t["path"], *t["aabb"]["ori"], *t["aabb"]["shape"], t["shape"]["type"], t["shape"]["dims"], t["grid"]["xlims"], t["grid"]["ylims"], t["grid"]["zlims"], t["grid"]["coordinates"]))
+        yield pd.DataFrame(rows, columns=["block", "at", *names[1:]])
+
+
 def read_yaml(spark: SparkSession, path: str, cache: str | None = None) -> DataFrame:
-    """The tiles of a catalogue, ids from 1; a Parquet copy at ``cache`` that is newer than the YAML is read instead.
+    """The tiles of a catalogue, ids from 1 in its order; a Parquet copy at ``cache`` that is newer than the YAML is read instead.
 
-    Both are read through Spark, from any file system that it reads.
+    Items of the list begin with a dash in the first column. The file is split there, and tasks parse the items; ids
+    count those of earlier blocks of the file, then those before in the block.
     """
-    import yaml
-
-    file = spark.read.format("binaryFile").load(path)
-    if cache and _modified(spark, cache) > file.select("modificationTime").first()[0].timestamp():
+    if cache and _modified(spark, cache) > _modified(spark, path):
         return spark.read.parquet(cache)
-    # one file, which the driver reads whole: a row per tile
-    tiles = yaml.load(bytes(file.select("content").first()[0]), Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))["tiles"]
-    rows = [
-        (i, t["path"], *t["aabb"]["ori"], *t["aabb"]["shape"], t["shape"]["type"], t["shape"]["dims"], t["grid"]["xlims"], t["grid"]["ylims"], t["grid"]["zlims"], t["grid"]["coordinates"])
-        for i, t in enumerate(tiles, 1)
-    ]
-    df = spark.createDataFrame(rows, SCHEMA)
+    records = spark.read.option("lineSep", "\n- ").text(path).select(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    tiles = records.mapInPandas(_parsed, "block long, at long, " + SCHEMA.split(", ", 1)[1])
+    blocks = tiles.groupBy("block").agg(F.count("*").alias("n"))
+    # one row a block of the file
+    before = F.coalesce(F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("block").orderBy("at"))
+    named = tiles.withColumn("nth", nth).join(blocks.select("block", before.alias("before")), "block")
+    df = named.select((F.col("before") + F.col("nth")).alias("id"), *[x.split()[0] for x in SCHEMA.split(", ")[1:]])
     if cache:
         df.write.mode("overwrite").parquet(cache)
+        return spark.read.parquet(cache)
     return df
 
 
