@@ -50,7 +50,8 @@ def test_only_the_pages_of_a_range_are_read(spark, tmp_path, monkeypatch):
     read, plain = [], stacks.page
     monkeypatch.setattr(stacks, "page", lambda *a: read.append(1) or plain(*a))
     parts = reader.partitions()
-    assert {p.c for p in parts} == {2} and len(parts) == 2 * 4
+    assert {f.c for p in parts for f in p.parts} == {2} and len(parts) == 2 * 4
+    assert [len(p.parts) for p in stacks.StackReader({"path": str(tmp_path)}).partitions()] == [4]
     rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
     assert len(read) == len(rows) == 2 * 5 and {r["z"] for r in rows} == set(range(7, 12))
 

@@ -3,7 +3,7 @@
 A stack is the file ``<path>.<channel>.tif`` below a folder; ``path`` is its place there without the ending. Rows are pages
 (``PAGES``): ``z`` is a page's number, ``depth`` the pages of the stack, ``height`` and ``width`` a page's rows and columns, ``data`` its little-endian bytes.
 
-Reading: a file is read in parts of about ``partbytes``; each part walks the chain of page headers, a few dozen bytes each, and
+Reading: a file is read in parts of about ``partbytes``, and small files are read several by a task; each part walks the chain of page headers, a few dozen bytes each, and
 reads only its own pages. Filters on ``path`` and ``c`` leave files out, filters on ``z`` pages, whatever else Spark then applies.
 
 Writing: a row may hold several pages in order; the rows of one stack come to one task in order of ``z`` and pages between them
@@ -38,6 +38,8 @@ _TYPES = [pa.string(), *[pa.int32()] * 5, pa.binary()]
 _FILE = re.compile(r"(.*)\.([0-9])\.tif")
 #: Bytes of pages in a batch that a task sends on.
 SEND = 16 << 20
+#: What opening a file weighs, in bytes, when small ones are read by one task.
+OPENING = 4 << 20
 
 
 def opened(place: str) -> tuple[pafs.FileSystem, str]:
@@ -97,7 +99,7 @@ def page(file: pa.NativeFile, tags: dict, order: str) -> tuple[int, int, bytes]:
 
 
 @dataclass
-class Part(InputPartition):
+class Part:
     """Part ``part`` of ``parts`` of a file's pages."""
 
     file: str
@@ -107,6 +109,13 @@ class Part(InputPartition):
     parts: int
 
 
+@dataclass
+class Parts(InputPartition):
+    """What one task reads."""
+
+    parts: list[Part]
+
+
 class StackReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.place, self.part_bytes = options["path"], int(options.get("partbytes", 64 << 20))
@@ -129,31 +138,39 @@ class StackReader(DataSourceReader):
         }
         return all(tests[type(f)](value, f.value) for f in self.filters if f.attribute == (name,))
 
-    def partitions(self) -> list[Part]:
+    def partitions(self) -> list[Parts]:
         fs, base = opened(self.place)
-        found = []
-        for info in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
+        found, weight = [], 0
+        for info in sorted(fs.get_file_info(pafs.FileSelector(base, recursive=True)), key=lambda info: info.path):
             m = _FILE.fullmatch(posixpath.relpath(info.path, base))
             if info.type == pafs.FileType.File and m and not m[1].startswith("_") and self.pattern.fullmatch(m[1]) and self.wanted("path", m[1]) and self.wanted("c", int(m[2])):
-                parts = max(1, -(-info.size // self.part_bytes))
-                found += [Part(info.path, m[1], int(m[2]), i, parts) for i in range(parts)]
+                n = max(1, -(-info.size // self.part_bytes))
+                for i in range(n):
+                    own = info.size // n + OPENING
+                    if not found or weight + own > self.part_bytes:
+                        found.append(Parts([]))
+                        weight = 0
+                    found[-1].parts.append(Part(info.path, m[1], int(m[2]), i, n))
+                    weight += own
         return found
 
-    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Parts) -> Iterator[pa.RecordBatch]:
         fs, _ = opened(self.place)
-        with fs.open_input_file(partition.file) as file:
-            order, pages = headers(file)
-            n, held, size = len(pages), [], 0
-            for z in range(n * partition.part // partition.parts, n * (partition.part + 1) // partition.parts):
-                if self.wanted("z", z):
-                    height, width, data = page(file, pages[z], order)
-                    held.append((partition.path, partition.c, z, n, height, width, data))
-                    size += len(data)
-                    if size > SEND:
-                        yield _batch(held)
-                        held, size = [], 0
-            if held:
-                yield _batch(held)
+        held, size = [], 0
+        for part in partition.parts:
+            with fs.open_input_file(part.file) as file:
+                order, pages = headers(file)
+                n = len(pages)
+                for z in range(n * part.part // part.parts, n * (part.part + 1) // part.parts):
+                    if self.wanted("z", z):
+                        height, width, data = page(file, pages[z], order)
+                        held.append((part.path, part.c, z, n, height, width, data))
+                        size += len(data)
+                        if size > SEND:
+                            yield _batch(held)
+                            held, size = [], 0
+        if held:
+            yield _batch(held)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
