@@ -154,6 +154,8 @@ SELECT vec_id, array_to_string(list_sort(list_distinct(lims)), ',') AS ordered,
     "custom_udaf": _with(_VOXELS, _MERGED) + "SELECT c, x >> 1 AS x, y >> 1 AS y, z >> 1 AS z, max(v) - min(v) AS v FROM merged GROUP BY 1, 2, 3, 4",
     "channel_subtract": _with(_VOXELS, _MERGED, """two AS (SELECT x, y, z, coalesce(max(CASE WHEN c = 0 THEN v END), 0)::DOUBLE AS s, coalesce(max(CASE WHEN c = 1 THEN v END), 0)::DOUBLE AS r FROM merged WHERE c < 2 GROUP BY ALL)""")
     + "SELECT x, y, z, round_even(greatest(0, least(65535, greatest(0.0, least(1.0, (s - 1000.0::DOUBLE) / 49000.0::DOUBLE)) * 65535.0::DOUBLE - greatest(0.0, least(1.0, (r - 2000.0::DOUBLE) / 58000.0::DOUBLE)) * 65535.0::DOUBLE)), 0)::INT AS p FROM two",
+    "projection_image": _with(_VOXELS, _MERGED, """two AS (SELECT x, y, z, coalesce(max(CASE WHEN c = 0 THEN v END), 0) - coalesce(max(CASE WHEN c = 1 THEN v END), 0) AS d FROM merged WHERE c < 2 GROUP BY ALL)""")
+    + "SELECT y AS x, z AS y, max(d)::INT AS p FROM two WHERE x + 1 BETWEEN 3 AND 40 GROUP BY ALL HAVING max(d) > 0",
     "project_max": _with(_VOXELS, _MERGED) + "SELECT x, y, max(v)::DOUBLE AS p FROM merged WHERE c = 0 AND z BETWEEN 2 AND 13 GROUP BY ALL",
     "project_p999": _with(_VOXELS, _MERGED) + "SELECT x, y, round(quantile_cont(v::DOUBLE, 0.999), 4) AS p FROM merged WHERE c = 0 AND z BETWEEN 2 AND 13 GROUP BY ALL",
     "project_median_max": _with(_VOXELS, _MERGED, """xy AS (SELECT DISTINCT x, y FROM merged WHERE c = 0), zs AS (SELECT unnest(generate_series(0, 15))::INT AS z), ks AS (SELECT unnest(generate_series(-2, 2)) AS k),

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from voxmill.config import ProjectionConfig
 from voxmill.functions import geometry as g
 from voxmill.functions.geometry import AXES, BOX
-from voxmill.jobs import logs
+from voxmill.jobs import logs, octrees, project
 from voxmill.operators import bricks, merge, octree, projection, quantiles, regions, resample, spatial
 from voxmill.sources import catalog, derived, stacks, tiff
 from voxmill.streaming import rates
@@ -433,6 +434,20 @@ def project_second(spark, d):
     return projection.second_brightest_of(_lit(spark, d), CROP)
 
 
+def projection_image(spark, d):
+    """One channel less another along x, over leaves of 16 x 16 x 16 and cropped from the origin on, written as an image and read again."""
+    folder, v = shared_place(spark, "image"), derived.voxels(spark, d)
+    tile = F.shiftright("x", 4)
+    levels = max(1, int(v.agg(F.coalesce(F.max(tile), F.lit(0))).first()[0]).bit_length())
+    path = F.concat_ws("/", *[(F.shiftright(tile, k).bitwiseAND(1) + 1).cast("string") for k in reversed(range(levels))])
+    leaves = bricks.merged(bricks.pack(v.select(path.alias("path"), "c", (F.col("x") % 16).alias("x"), "y", "z", "v"), octrees.NODE), octrees.NODE)
+    plan = octrees.Plan((0, 0, 0), (16 << levels,) * 3, levels, (16, 16, 16), (1.0, 1.0, 1.0))
+    config = ProjectionConfig(axis=1, crop_um=(3.0, 40.0), signal_levels=(0.0, 65535.0), reference_levels=(0.0, 65535.0))
+    project.save_image(project.project_leaves(leaves, leaves.select("path").distinct(), plan, config), 16 << levels, 16 << levels, folder, "projection")
+    # a square image's rows are its second axis
+    return stacks.voxels(stacks.load(spark, folder)).select(F.col("y").alias("x"), F.col("x").alias("y"), F.col("v").alias("p"))
+
+
 def mosaic(spark, d):
     """Face tiles of 4 x 4 pixels placed by their quadtree paths."""
     k = derived.node_paths(spark, d).select("k", g.quadtree_path(g.face_path(F.col("k") % 64, 3, 2), 2).alias("quad"))
@@ -546,7 +561,7 @@ QUERIES = {
         leaf_shape_search, transform_params, roi_box, roi_from_morton, tiles_in_roi, roi_scan, subtile_corners, subtile_aabb, leaf_transform, subtile_slice, morton_decode, face_paths, quadtree_to_xy,
         face_leaf_stack, face_stack_voxels, crop_range, scale_clamp, path_ops, octal_digits, human_readable, string_scalars, math_scalars, array_scalars, leaf_tile_overlap, solo_leaves,
         octree_descend, subtiles_per_leaf, tiles_per_box, kd_jobs, tile_locality_order, max_merge, max_merge_bricks, merge_octrees, exclude_nodes, downsample_first, downsample_mean, downsample_second,
-        downsample_nth_nonzero, octree_pyramid, pyramid_refresh, custom_udaf, channel_subtract, project_max, project_p999, project_median_max, project_second, mosaic, gaussian_downsample, octree_listing,
+        downsample_nth_nonzero, octree_pyramid, pyramid_refresh, custom_udaf, channel_subtract, project_max, project_p999, project_median_max, project_second, projection_image, mosaic, gaussian_downsample, octree_listing,
         leaf_only_scan, face_listing, log_scan, stage_profile, profile_bar, log_counts, timing_rollup, monitor_scan, cluster_series_sum, node_rates, node_rates_stream, incomplete_outputs, resample_nearest, resample_linear,
     )
 }
