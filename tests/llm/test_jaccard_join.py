@@ -113,6 +113,27 @@ def test_a_large_family_is_joined_before_groups_are_opened(spark):
     assert got(jj.jaccard_components(whole, k=4, percent=85, bundle=16, group_size=50, task_queries=60)) == brute(rows, 4, 85)
 
 
+def test_rows_with_a_common_phrase_alone_are_probed_with_nothing(spark):
+    rng = random.Random(9)
+    word = lambda: f"u{rng.randrange(10**9)}"
+    phrase = "all rights reserved by us"
+    rows = [(i, f"{phrase} {word()} {word()}" if i % 2 else f"{word()} {phrase} {word()}") for i in range(2000)]
+    rows += [(3000, "all rights reserved by us in every land"), (3001, "all rights reserved by us in every land now")]
+    whole = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = jj.prefixes(whole, 4, 85, jj.gram_counts(whole, 4, 1 << 12))
+    shared = jj.shared_prefixes(sets, 85)
+    assert {r.id for r in shared.collect()} <= {3000, 3001}
+    assert got(jj.jaccard_components(whole, k=4, percent=85)) == brute(rows, 4, 85)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_short_sets_of_all_sizes_and_overlaps(spark, percent):
+    # sets of 1 to 12 shingles that share a beginning: every size meets every other
+    rows = [(100 * n + own, " ".join([f"w{i}" for i in range(n)] + [f"own{n}x{own}x{i}" for i in range(own)])) for n in range(1, 13) for own in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jj.jaccard_components(docs, k=2, percent=percent, bundle=3, group_size=5, task_queries=3, slots=1 << 12)) == brute(rows, 2, percent)
+
+
 def test_a_long_chain_of_links(spark):
     pairs = [(i, i + 1) for i in range(1, 300)] + [(400, 500), (500, 450)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long")).collect())

@@ -3,7 +3,8 @@
 Each document is a set of word shingles; sets that are equal count once from the start. Shingles have one global
 order, rare ones first (by counts over all documents in hashed counters), and a set's prefix is
 its least ones: two sets at the threshold share at least ``EXTRA + 1`` of their prefixes. Shingles
-that only one prefix has are dropped.
+that only one prefix has are dropped, and so are sets that are left with fewer than they would have to share: rows with a
+common phrase and nothing else in common cost no more than their own shingles.
 
 Groups hold documents of like size whose commonest prefix shingle is the same. A large group is a family of copies as
 a rule, so families are joined first: groups are cut by hash to ``bundle`` members, each cut also gets the
@@ -14,7 +15,7 @@ The matrix has, per shingle and group (cut to ``group_size``), how many members'
 union of the group's tokens. A query's overlap with that union bounds its overlap with any member, so
 a group is opened only if the bound reaches what the threshold asks of sets at least as large as
 the query. Only links between components are still asked for: a shingle whose holders are all of one component can't
-give one and leaves the matrix, and a group of which a query meets its own component alone is not opened. So a family of N
+give one and leaves the matrix, a set that is left with too few shingles leaves it too, and a group of which a query meets its own component alone is not opened. So a family of N
 copies that its pivots have joined costs N rows here and not N times its groups. An opened group meets its queries
 in one task with whole sets, which an inverted index of the members intersects; the task returns a spanning forest
 of the links it finds, never all pairs.
@@ -115,12 +116,24 @@ def prefixes(whole: DataFrame, k: int, percent: int, order: np.ndarray) -> DataF
     return stored(whole.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix array<long>"), "prefixes")
 
 
-def shared_prefixes(reps: DataFrame) -> DataFrame:
-    """(id, n, x, c) of each prefix shingle x that c > 1 sets have."""
+def able(rows: DataFrame, percent: int, *more: str) -> DataFrame:
+    """``rows`` (one a set and shingle x) of the sets that have as many as a link asks for.
+
+    Of sets of a <= b shingles at the threshold, ``_ceil_share(b)`` or more are common, and all but the larger set's
+    ``beyond`` of them lie in both prefixes; so a set of n shares ``min(_ceil_share(n), 1 + EXTRA)`` with whatever it links with.
+    """
+    keys = [c for c in rows.columns if c not in ("x", *more)]
+    held = rows.groupBy(*keys).agg(F.collect_list(F.struct("x", *more)).alias("held"))
+    least = F.least(F.ceil(F.col("n") * percent / 100), F.lit(1 + EXTRA))
+    return stored(held.where(F.size("held") >= least), "able").select(*keys, F.inline("held"))
+
+
+def shared_prefixes(reps: DataFrame, percent: int = 80) -> DataFrame:
+    """(id, n, x, c) of each prefix shingle x that c > 1 sets have, for sets with as many as a link asks for."""
     rows = reps.select(F.col("doc_id").alias("id"), "n", F.explode("prefix").alias("x"))
     # stored, so that the join is of plain rows and adaptive execution can split a hot shingle
     often = stored(rows.groupBy("x").agg(F.count("*").alias("c")).where("c > 1"), "often")
-    return stored(rows.join(often, "x").select("id", "n", "x", "c"), "shared")
+    return able(rows.join(often, "x").select("id", "n", "x", "c"), percent, "c")
 
 
 def _cuts(size: int) -> Column:
@@ -131,7 +144,7 @@ def _cuts(size: int) -> Column:
 def grouped(shared: DataFrame, percent: int, bundle: int, group_size: int, pivots: int = 8) -> tuple[DataFrame, DataFrame]:
     """(id, n, g, own) of the members of groups, ``g`` of ``group_size`` and ``own`` of ``bundle``, and the pivots' (id, g) in cuts."""
     # sets whose sizes differ by under an eighth of what the threshold allows lie in one size class
-    size_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent) / 4))).cast("long")
+    size_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent) / 4))).cast("long") if percent < 100 else F.col("n")
     best = shared.groupBy("id", "n").agg(F.max(F.struct("c", "x")).alias("top"), F.sum("c").alias("weight"))
     key = stored(best.select("id", "n", "weight", F.xxhash64("top.x", size_class).alias("key")), "keys")
     part = F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(pivots))
@@ -149,7 +162,7 @@ def opened_groups(shared: DataFrame, members: DataFrame, parts: DataFrame, perce
     named = members.select("id", "g").join(parts, "id", "left").select("id", "g", F.coalesce("component", "id").alias("part"))
     held = stored(shared.select("id", "n", "x").join(named, "id"), "held")
     mixed = stored(held.groupBy("x").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("x"), "mixed")
-    held = held.join(mixed, "x")
+    held = able(held.join(mixed, "x"), percent)
     matrix = stored(
         held.groupBy("x", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("part").alias("low_part"), F.max("part").alias("high_part")), "matrix"
     )
@@ -282,7 +295,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, slots: in
     same = stored(named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), "same")
     reps = stored(named.join(same.select(F.col("rep").alias("doc_id"), "s1", "s2"), ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "s1", "s2"]), "reps")
     known = whole.where("doc_id IS NOT NULL")
-    shared = shared_prefixes(reps)
+    shared = shared_prefixes(reps, percent)
     members, pivots = grouped(shared, percent, bundle, group_size)
     crowded = stored(members.groupBy("own").agg(F.count("*").alias("size")).where("size > 1").select("own"), "crowded")
     inside = members.select("id", "own").unionByName(pivots).distinct().join(crowded, "own").select("id", F.col("own").alias("g"), F.lit(True).alias("query"), F.lit(True).alias("member"))
