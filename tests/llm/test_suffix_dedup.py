@@ -57,6 +57,19 @@ def test_shared_passages_at_the_bound(spark, bucket):
     assert sd.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [1, 4096])
+def test_classes_whose_hashes_agree_by_accident_are_split(spark, crowd):
+    # without a single bit of hash every anchor is one class; each passage stands in two rows, so its anchors have two runs
+    rng, rows = random.Random(11), []
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    for i in range(40):
+        passage = word(rng.choice([39, 40, 44, 70]))
+        rows += [(2 * i, word(30) + passage + word(30)), (2 * i + 1, word(20) + passage + word(rng.randrange(30)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = check(docs, rows, 40, k=16, bucket=3, crowd=crowd, bits=0)
+    assert 30 < sum(w[1] > 0 for v in want.values() for w in v) < 80
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 99, 4000).astype(np.uint8)

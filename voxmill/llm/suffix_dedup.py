@@ -4,13 +4,16 @@ A suffix matters here for its first ``length`` bytes only, its window. Windows a
 the least k-byte string in them by hash (then the leftmost), so equal windows have equal anchors at
 equal offsets. An anchor's run of windows is one row. Anchors that occur once hold no repeated window. Rows whose
 whole runs agree (by two hashes of 64 bits over all bytes) are one class. Of each class the first row and, if it has more than
-one, the last send their bytes to a bucket, where the two are verified byte by byte; the first goes on.
+one, the last send their bytes to a bucket, where the two are verified byte by byte; the first goes on. Should they differ, the
+class is split: the windows of all its rows, and of the other classes of its anchor, are dealt by all their bytes, as below.
 
 In a bucket the suffixes of each anchor and offset are sorted by mergesort. Two suffixes are compared by
 their longest common extension, which a binary search over prefix polynomial hashes finds in log2(length)
 steps, and then by one byte. Neighbours that agree over the whole window are verified byte by byte. A class of two rows or
 more is repeated throughout and serves the sort for what others share with it; an anchor of one class needs no sort.
 
+Rows are told apart by their ids where these are whole numbers that don't repeat, else by numbers stored with them.
+
 A bucket holds about ``bucket`` runs. Where an anchor has more than ``crowd`` classes, its windows are dealt by all
 their bytes instead: they become runs of one window, which go the same way by classes, so nothing unbounded
 meets in a task.
@@ -25,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxmill.llm import shingles as sh
-from voxmill.llm.common import pick, small_batches, stored, text_or_empty
+from voxmill.llm.common import numbered, pick, small_batches, stored, text_or_empty
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 ANCHORS = "rk long, lo int, n int, rel int, h long, f long, g long"
@@ -76,18 +79,16 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple
     return text[lo], lo, n, rel, h[a[new]], sh.mixed(f + shape, 3), sh.mixed(g, 4)
 
 
-def _key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
+def anchors(whole: DataFrame, length: int, k: int, bits: int) -> DataFrame:
+    mask = np.uint64((1 << bits) - 1)
 
-def anchors(whole: DataFrame, length: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in ANCHORS.split(", ")]
         for b in batches:
             rk = b.column("rk").to_numpy()
             for first, data, offsets in sh.chunks(b.column("text")):
-                text, lo, n, rel, *hashes = runs_of(data, offsets, length, k)
-                cols = [pa.array(rk[first + text])] + [pa.array(x.astype(np.int32)) for x in (lo - offsets[text], n, rel)] + [pa.array(x.view(np.int64)) for x in hashes]
+                text, lo, n, rel, h, f, g = runs_of(data, offsets, length, k)
+                cols = [pa.array(rk[first + text])] + [pa.array(x.astype(np.int32)) for x in (lo - offsets[text], n, rel)] + [pa.array(x.view(np.int64)) for x in (h, f & mask, g & mask)]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return stored(whole.select("rk", "text").mapInArrow(run, ANCHORS), "anchors")
@@ -224,7 +225,7 @@ def _with_runs(whole: DataFrame, wanted: DataFrame, slots: int) -> DataFrame:
 def sorted_runs(whole: DataFrame, classes: DataFrame, length: int, bucket: int, slots: int) -> DataFrame:
     """(rk, s, e) spans of the single rows of classes(cell, h, f, g, c, first, last) that repeat, and, with rk null, (h, f, g) of the classes of two rows or more that do.
 
-    cell: runs that may hold equal windows have one. first, last: (rk, lo, n, rel).
+    ``s`` is -1 for classes whose first and last row differ. cell: runs that may hold equal windows have one. first, last: (rk, lo, n, rel).
     """
     buckets = max(1, -(-classes.count() // bucket))
     ends = F.when(F.col("c") > 1, F.array("first", "last")).otherwise(F.array("first"))
@@ -239,13 +240,11 @@ def sorted_runs(whole: DataFrame, classes: DataFrame, length: int, bucket: int,
         rk, lo, rel, cell, single, raw = (group.column(c).to_pylist() for c in ("rk", "lo", "rel", "cell", "single", "bytes"))
         names = list(zip(*[group.column(c).to_pylist() for c in ("h", "f", "g")], strict=True))
         first: dict[tuple, int] = {}
-        twice, out = set(), []
+        twice, differ, out = set(), set(), []
         for i, name in enumerate(names):
             if first.setdefault(name, i) != i:
-                if raw[i] != raw[first[name]]:
-                    raise RuntimeError("two hashes of 64 bits agree for different bytes")
-                twice.add(name)
-        out += [(None, None, None, *name) for name in twice]
+                (twice if raw[i] == raw[first[name]] else differ).add(name)
+        out += [(None, None, None, *name) for name in twice] + [(None, -1, None, *name) for name in differ]
         crowd = Counter(cell[i] for i in first.values())
         live = [i for i in first.values() if crowd[cell[i]] > 1]
         if live:
@@ -257,9 +256,9 @@ def sorted_runs(whole: DataFrame, classes: DataFrame, length: int, bucket: int,
     return stored(_sent(_with_runs(whole, rows, slots), columns, bring).groupBy("bucket").applyInArrow(sort_bucket, "rk long, s int, e int, h long, f long, g long"), "sorted")
 
 
-def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, crowd: int, slots: int) -> DataFrame:
+def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, crowd: int, slots: int, bits: int) -> DataFrame:
     """(rk, s, e): byte spans of texts that repeated windows cover, in pieces."""
-    rows = anchors(whole, length, k)
+    rows = anchors(whole, length, k, bits)
     # stored, so that the join is of plain rows and adaptive execution can split a hot anchor
     often = stored(rows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "often")
     shared = stored(rows.join(often, "h"), "shared")
@@ -274,12 +273,19 @@ def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, crowd: int
 
     def of(rows: DataFrame, found: DataFrame) -> DataFrame:
         """The spans that the sort found: of single rows, and of all rows of repeated classes."""
-        repeated = stored(found.where("rk IS NULL").select(*name).distinct(), "repeated")
+        repeated = stored(found.where("rk IS NULL AND s IS NULL").select(*name).distinct(), "repeated")
         copies = rows.join(repeated, name, "left_semi").select("rk", F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1 + length).alias("e"))
         return copies.unionByName(found.where("rk IS NOT NULL").select("rk", "s", "e"))
 
     out = of(shared, found)
-    if hot.limit(1).count():
+    dealt = marked.where("hot").select("first.*", "h")
+    split = stored(found.where("s = -1").select(*name).distinct(), "split")
+    mistaken = bool(split.limit(1).count())
+    if mistaken:
+        others = marked.join(split.select("h").distinct(), "h", "left_semi").join(split, name, "left_anti").select("first.*", "h")
+        own = shared.join(split, name, "left_semi").select("rk", "lo", "n", "rel", "h")
+        dealt = dealt.unionByName(others).unionByName(own).distinct()
+    if mistaken or hot.limit(1).count():
         columns = {"rk": pa.int64(), "lo": pa.int32(), "n": pa.int32(), "rel": pa.int32(), "h": pa.int64(), "f": pa.int64(), "g": pa.int64()}
 
         def windows(rk: int, raw: bytes, runs: list) -> Iterator[tuple]:
@@ -287,23 +293,25 @@ def covered_spans(whole: DataFrame, length: int, k: int, bucket: int, crowd: int
                 for i in range(r["lo"], r["lo"] + r["n"]):
                     yield rk, i, 1, 0, r["h"], *struct.unpack("<qq", hashlib.blake2b(raw[i : i + length], digest_size=16).digest())
 
-        single = stored(_sent(_with_runs(whole, marked.where("hot").select("first.*", "h"), slots), columns, windows), "windows")
+        single = stored(_sent(_with_runs(whole, dealt, slots), columns, windows), "windows")
         again = stored(single.groupBy(*name).agg(*ends).where("c > 1"), "classes")
         found = sorted_runs(whole, again.select(F.xxhash64(*name).alias("cell"), *name, "c", "first", "last"), length, bucket, slots)
         out = out.unionByName(of(single, found))
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int = 512, crowd: int = 4096, slots: int = 1 << 18) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, k: int = 32, bucket: int = 512, crowd: int = 4096, slots: int = 1 << 18, bits: int = 64) -> DataFrame:
     """RESULT for each row of docs(doc_id, text), with the bytes that stay as ``kept``.
 
     Every byte goes that lies in a string of ``length`` bytes which also starts anywhere else, in the same text or another;
     occurrences that overlap count. Null and empty texts, and those under ``length`` bytes, lose nothing. Rows that repeat
-    count as another place, even with the same doc_id. What stays of a text may cut a character, so it is binary.
+    count as another place, even with the same doc_id. What stays of a text may cut a character, so it is binary. ``bits`` of
+    each of a run's two hashes are used; fewer make more classes that have to be split.
     """
     small_batches(docs.sparkSession)
-    whole = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("rk", _key())
-    spans = covered_spans(whole, length, k, bucket, crowd, slots).groupBy("rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    rows, number = numbered(pick(docs, "doc_id", "text"))
+    whole = rows.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.col(number).alias("rk"))
+    spans = covered_spans(whole, length, k, bucket, crowd, slots, bits).groupBy("rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     joined = whole.join(spans, "rk", "left").select("doc_id", "text", "spans")
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
