@@ -40,6 +40,7 @@ def bucketed_hits(a: DataFrame, b: DataFrame, cell: list[int] | None = None) ->
 
     Cells follow from the boxes: one of usual size touches eight at most, and larger ones lie in coarser grids, so no box touches
     many. Two boxes meet in the grid of the larger one, in the one cell where their overlap begins, so there is no distinct.
+    The join is by sorted shuffles: Spark's estimates don't know how many rows an explode makes, and would send the cells of a side through the driver.
     """
     extent = " AND ".join(f"s{x} > 0" for x in AXES)
     a, b = (d.where(extent) for d in (a, b))
@@ -51,7 +52,7 @@ def bucketed_hits(a: DataFrame, b: DataFrame, cell: list[int] | None = None) ->
     begins = F.greatest("a.own", "b.own") == F.col("a.level")
     for x in AXES:
         begins = begins & (F.floor(F.greatest(f"a.o{x}", f"b.o{x}") / F.col(f"a.w{x}")) == F.col(f"a.c{x}"))
-    return left.join(right, same).where(aabb_hit("a", "b") & begins).select("a_id", "b_id")
+    return left.join(right.hint("merge"), same).where(aabb_hit("a", "b") & begins).select("a_id", "b_id")
 
 
 def broadcast_hits(a: DataFrame, b: DataFrame) -> DataFrame:
