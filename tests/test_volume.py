@@ -86,6 +86,26 @@ def test_joins_agree_and_touching_boxes_do_not_hit(spark):
     assert {tuple(r) for r in spatial.broadcast_hits(two, two).collect()} == {(1, 1), (2, 2)}
 
 
+def test_no_side_of_a_join_that_grows_goes_through_the_driver(spark, tmp_path):
+    """Cells of boxes and nodes of grids are many times what Spark's estimates say, so neither is broadcast even where it seems small."""
+    b = spark.createDataFrame([(i, 3 * i, 0, 0, 5, 5, 5) for i in range(20)], "id long, ox long, oy long, oz long, sx long, sy long, sz long")
+    b.write.parquet(f"{tmp_path}/b")
+    b = spark.read.parquet(f"{tmp_path}/b")
+    hits = spatial.bucketed_hits(b, b)
+    nodes = spark.createDataFrame([(t, i, j, k, 10 * t + i, j, k) for t in range(3) for i in (1, 2, 3) for j in (1, 2) for k in (1, 2 + t)], "id long, ix int, iy int, iz int, x long, y long, z long")
+    nodes.write.parquet(f"{tmp_path}/nodes")
+    nodes = spark.read.parquet(f"{tmp_path}/nodes")
+    corners = catalog.corner_nodes(nodes)
+    for df in (hits, corners):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in hits.collect()} == {(i, j) for i in range(20) for j in range(20) if abs(i - j) < 2}
+    # grids of different heights, with pages between that have no nodes
+    known = {tuple(r) for r in nodes.collect()}
+    ends = {t: 2 + t for t in range(3)}
+    want = {(t, x, y, z, b, *n[4:]) for n in known for t in [n[0]] for b in range(8) for x, y, z in [(n[1] - (b & 1), n[2] - (b >> 1 & 1), n[3] - (b >> 2))] if 1 <= x < 3 and 1 <= y < 2 and 1 <= z < ends[t]}
+    assert len(want) > 40 and {tuple(r) for r in corners.collect()} == want
+
+
 def test_kd_stops_at_one_origin(spark):
     queries.checkpoints(spark)
     same = spark.createDataFrame([(i, 3, 3, 3, 2, 2, 2) for i in range(9)], "id long, ox long, oy long, oz long, sx long, sy long, sz long")

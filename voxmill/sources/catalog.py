@@ -90,10 +90,12 @@ def grid_nodes(tiles: DataFrame) -> DataFrame:
 def corner_nodes(nodes: DataFrame) -> DataFrame:
     """(id, ix, iy, iz, b, x, y, z): the eight corners of each sub-tile of nodes(id, ix, iy, iz, x, y, z).
 
-    A node is a corner of up to eight cells, so it is sent to each: one explode, no self-join.
+    A node is a corner of up to eight cells, so it is sent to each: one explode, no self-join. The ends of a tile's grid come from a
+    window over its nodes: a join with them would be broadcast, as Spark's estimates don't know how many rows an explode makes.
     """
-    last = nodes.groupBy("id").agg(*[F.max(f"i{a}").alias(f"n{a}") for a in AXES])
-    each = nodes.join(last, "id").select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("b"))
+    tile = Window.partitionBy("id")
+    last = nodes.select("*", *[F.max(f"i{a}").over(tile).alias(f"n{a}") for a in AXES])
+    each = last.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("b"))
     for k, a in enumerate(AXES):
         each = each.withColumn(f"j{a}", F.col(f"i{a}") - F.shiftright("b", k).bitwiseAND(1))
     each = each.where(" AND ".join(f"j{a} >= 1 AND j{a} < n{a}" for a in AXES))
