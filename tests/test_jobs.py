@@ -185,6 +185,24 @@ def test_the_leaf_shape_search_begins_at_an_even_shape(spark):
     assert p.leaf_px == min(shapes, key=cost)
 
 
+@pytest.mark.parametrize("function", ["max", "median_max"])
+def test_lines_are_no_longer_than_the_crop(spark, monkeypatch, function):
+    """A stack of 300 leaves of which 20 pixels are in the crop: known functions see these and what they look at beyond, not 4,800."""
+    plain, reach = projection.PROJECTIONS[function], projection.REACH[function]
+
+    def checked(d, crop):
+        assert d.shape[1] <= 20 + 2 * reach
+        return plain(d, crop)
+
+    monkeypatch.setitem(projection.PROJECTIONS, function, checked)
+    rows = [("%03d" % n, 0, 3, 4, z, 1000 + n) for n in range(300) for z in range(16)]
+    leaves = bricks.pack(spark.createDataFrame(rows, "path string, c int, x int, y int, z int, v int").repartition(1), octrees.NODE)
+    stack = spark.createDataFrame([("%03d" % n, 0, 0, n, 300, 1601, 1620) for n in range(300)], "path string, u int, v int, nth int, n int, low int, high int")
+    config = ProjectionConfig(axis=3, function=function, signal_levels=(0.0, 65535.0), reference_levels=(0.0, 65535.0))
+    got = projection.pixels_of(projection.project_bricks(bricks.merged(leaves, octrees.NODE), stack, config, (16, 16, 16))).collect()
+    assert [tuple(r) for r in got] == [(3, 4, 1101)]
+
+
 def test_a_large_image_is_written_in_parts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(project, "PART", 64)
     pixels = spark.createDataFrame([(x, y, 300 * x + y + 1) for x in range(100) for y in range(0, 130, 3)], "x int, y int, p int")

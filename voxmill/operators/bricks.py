@@ -133,9 +133,7 @@ def merged(bricks: DataFrame, by: tuple[str, ...] = ("c",)) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: pa.RecordBatch | None = None  # the key in hand, and its values so far
         best = np.zeros(CELLS, np.uint16)
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (whole.slice(s, BRICKS_AT_ONCE) for whole in batches for s in range(0, whole.num_rows, BRICKS_AT_ONCE)):
             keys = b.select(key)
             new = np.zeros(b.num_rows, bool)
             for c in keys.columns:

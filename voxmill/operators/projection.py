@@ -73,6 +73,10 @@ PROJECTIONS: dict[str, Callable[[np.ndarray, slice], np.ndarray]] = {
     "median_max": _median_max,
     "second": _second,
 }
+#: How far beyond the crop each of these looks along a line; of others, users' own among them, that isn't known and they get whole lines.
+REACH = {"max": 0, "p999": 0, "median_max": 2, "second": 0}
+#: Values of lines that are reduced at once.
+VALUES = 1 << 21
 #: For each axis, how a brick's (z, y, x) cells become (u, v, depth).
 _TURN = {1: (1, 0, 2), 2: (2, 0, 1), 3: (2, 1, 0)}
 
@@ -99,27 +103,34 @@ def stacked(there: DataFrame, axis: int, nlevels: int, crop_um: tuple[float, flo
 def project_bricks(leaves: DataFrame, stack: DataFrame, config: ProjectionConfig, leaf_px: tuple[int, int, int]) -> DataFrame:
     """Image bricks (i, j, k, data) of leaves(path, c, i, j, k, data), one brick a key, as ``stacked`` has them.
 
-    Bricks that lie behind one another meet in one task, which holds the lines of one brick's face: 256 of the stack's depth. Dark lines stay dark.
+    Bricks that lie behind one another meet in one task, which holds the lines of one brick's face: 256 of the crop's depth, or of the stack's
+    for functions that aren't in ``REACH``. Bricks outside that aren't sent there. Dark lines stay dark.
     """
     reduce_ = PROJECTIONS[config.function] if isinstance(config.function, str) else config.function
+    reach = REACH.get(config.function) if isinstance(config.function, str) else None
     axis, depth_px = config.axis, leaf_px[config.axis - 1]
     if min(config.signal_levels[0], config.reference_levels[0]) < 0:
         raise ValueError("a black level under 0 makes dark lines bright")
     across = [i for i in range(3) if i != axis - 1]
     du, dv, dd = (bricks.PLACE[i] for i in (*across, axis - 1))
     used = leaves.where(F.col("c").isin(config.signal_channel, config.reference_channel)).join(stack, "path")
+    if reach is not None:
+        begin = F.col("nth") * depth_px + F.col(dd) * bricks.SIDE
+        used = used.where((begin < F.col("high") + reach) & (F.least(begin + bricks.SIDE, (F.col("nth") + 1) * depth_px) > F.col("low") - 1 - reach))
     columns = ["u", "v", "n", "low", "high", "c", "nth", F.col(du).alias("bu"), F.col(dv).alias("bv"), F.col(dd).alias("bd"), "data"]
     key = ["u", "v", "bu", "bv"]
     schema = pa.schema([*((p, pa.int32()) for p in bricks.PLACE), ("data", pa.binary())])
     side = bricks.SIDE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, now, lines = bricks.Table(schema, bricks.IMAGE), None, np.zeros((2, 0, 0), np.uint16)
+        table, now, start, lines = bricks.Table(schema, bricks.IMAGE), None, 0, np.zeros((2, 0, 0), np.uint16)
 
         def done() -> None:
             u, v, bu, bv, _, low, high = now
-            difference = _scaled(lines[0], config.signal_levels) - _scaled(lines[1], config.reference_levels)
-            p = np.rint(np.clip(reduce_(difference, slice(low - 1, high)), 0, 65535)).astype(np.uint16).reshape(side, side)
+            step = max(1, VALUES // lines.shape[2])
+            pieces = (_scaled(signal, config.signal_levels) - _scaled(reference, config.reference_levels) for signal, reference in (lines[:, s : s + step] for s in range(0, side * side, step)))
+            p = np.concatenate([reduce_(difference, slice(low - 1 - start, high - start)) for difference in pieces])
+            p = np.rint(np.clip(p, 0, 65535)).astype(np.uint16).reshape(side, side)
             p = p[: leaf_px[across[0]] - bu * side, : leaf_px[across[1]] - bv * side]
             x, y = np.nonzero(p)
             at = [u * leaf_px[across[0]] + bu * side + x, v * leaf_px[across[1]] + bv * side + y, np.zeros(len(x), np.int64)]
@@ -133,12 +144,15 @@ def project_bricks(leaves: DataFrame, stack: DataFrame, config: ProjectionConfig
                         done()
                         if len(table) > bricks.HELD:
                             yield table.taken()
-                    now, lines = own, np.zeros((2, side * side, own[4] * depth_px), np.uint16)
+                    now, (_, low, high) = own, own[4:]
+                    start, stop = (0, own[4] * depth_px) if reach is None else (max(0, low - 1 - reach), min(own[4] * depth_px, high + reach))
+                    lines = np.zeros((2, side * side, stop - start), np.uint16)
                 first, size = nth * depth_px + bd * side, min(side, depth_px - bd * side)
-                block = cells[n].transpose(_TURN[axis]).reshape(side * side, side)[:, :size]
+                skip, end = max(start - first, 0), min(size, stop - first)
+                block = cells[n].transpose(_TURN[axis]).reshape(side * side, side)[:, skip:end]
                 for k, channel in enumerate((config.signal_channel, config.reference_channel)):
                     if c == channel:
-                        lines[k][:, first : first + size] = block
+                        lines[k][:, first + skip - start : first + end - start] = block
         if now:
             done()
         yield table.taken()

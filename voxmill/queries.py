@@ -443,7 +443,8 @@ def projection_image(spark, d):
     leaves = bricks.merged(bricks.pack(v.select(path.alias("path"), "c", (F.col("x") % 16).alias("x"), "y", "z", "v"), octrees.NODE), octrees.NODE)
     plan = octrees.Plan((0, 0, 0), (16 << levels,) * 3, levels, (16, 16, 16), (1.0, 1.0, 1.0))
     config = ProjectionConfig(axis=1, crop_um=(3.0, 40.0), signal_levels=(0.0, 65535.0), reference_levels=(0.0, 65535.0))
-    project.save_image(project.project_leaves(leaves, leaves.select("path").distinct(), plan, config), 16 << levels, 16 << levels, folder, "projection")
+    # tiles lie along x alone, so all that can be lit is one leaf's face; the rest of the root's would grow with the square of their number
+    project.save_image(project.project_leaves(leaves, leaves.select("path").distinct(), plan, config), 16, 16, folder, "projection")
     # a square image's rows are its second axis
     return stacks.voxels(stacks.load(spark, folder)).select(F.col("y").alias("x"), F.col("x").alias("y"), F.col("v").alias("p"))
 

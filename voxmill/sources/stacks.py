@@ -187,7 +187,7 @@ class StackFile:
             raise ValueError("a stack of 4 GiB or more is no TIFF")
         out.write(b"II*\0" + struct.pack("<I", 8))
 
-    def write(self, z: int, data: bytes) -> None:
+    def write(self, z: int, data: bytes | memoryview) -> None:
         """Pages from z on; dark ones come before them."""
         if z < self.z or len(data) % self.size or z + len(data) // self.size > self.depth:
             raise ValueError(f"page {z} is out of order or of another size")
@@ -237,7 +237,7 @@ class StackWriter(DataSourceArrowWriter):
                     fs.create_dir(posixpath.dirname(staged), recursive=True)
                     file, now = StackFile(fs.open_output_stream(staged), depth, height, width), (path, c)
                     files.append((staged, posixpath.join(base, name)))
-                file.write(z, batch.column("data")[i].as_buffer().to_pybytes())
+                file.write(z, memoryview(batch.column("data")[i].as_buffer()))
         if file:
             file.close()
         return Written(files)
@@ -300,7 +300,7 @@ def slabs(dense: DataFrame, shape: tuple[int, int, int], sides: tuple[int, int,
             z = now[2] * sz
             pages = slab[: min(sz, shape[2] - z), : shape[0], : shape[1]]
             pages = pages.transpose(0, 2, 1) if turned else pages
-            return _batch([(*now[:2], z, shape[2], *pages.shape[1:], pages.astype("<u2").tobytes())])
+            return _batch([(*now[:2], z, shape[2], *pages.shape[1:], pages.astype("<u2", copy=False).tobytes())])
 
         for b in batches:
             cells = bricks.as_cells(b.column("data")).reshape(-1, sz, sy, sx)
