@@ -91,10 +91,11 @@ def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) ->
             spark.conf.set(name, str(most))
 
 
-def boosted(train: DataFrame, rounds: int = 20, depth: int = 3):
-    """Gradient-boosted trees on ``features`` (a vector) and ``label``; None unless both labels occur."""
+def boosted(train: DataFrame, rounds: int = 20, depth: int = 3, weight: str | None = None):
+    """Gradient-boosted trees on ``features`` (a vector) and ``label``, rows counting as the column ``weight`` says; None unless both labels occur."""
     from pyspark.ml.classification import GBTClassifier
 
     if train.select("label").distinct().count() < 2:
         return None
-    return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32, minInstancesPerNode=3).fit(train)
+    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32, minInstancesPerNode=3)
+    return (trees.setWeightCol(weight) if weight else trees).fit(train)

@@ -2,7 +2,7 @@
 
 Generators mark candidate spans, overlapping between kinds. Those of the four base kinds that pass their
 kind's own check always stay. The rest are scored by boosted trees over format and context, and a threshold
-for each kind, set at a given precision on a separate part of a bounded sample of candidates, selects.
+for each kind, set at a given precision on a separate part of the candidates, selects. Every candidate either trains or sets thresholds.
 
 The trees learn from weak labels that they can't see: candidates of added kinds are positive where the words before them name
 what they are (or where a known issuer's form does), and the trees are given signs, cases, digits, checksums and punctuation,
@@ -160,31 +160,31 @@ def _weak_label() -> Column:
     return (F.col("valid") | named | (F.col("kind") == "key") | ((F.col("kind") == "secret") & F.rlike("match", F.lit(KEY_FORM)))).cast("double")
 
 
-def selected(spans: DataFrame, sample: int = 20_000, precision: float = 0.9) -> DataFrame:
+def selected(spans: DataFrame, even: int = 20_000, precision: float = 0.9) -> DataFrame:
     """The spans that stay, with ``p``: base spans (p null), and others at or over their kind's threshold.
 
-    About ``sample`` candidates at most, drawn by hash and as many of each kind if there are, train the trees (three quarters)
-    and set the thresholds: per kind the least score from which on the other quarter holds ``precision`` of weak
-    positives. An added kind without such a score takes that of all added kinds together.
+    All candidates train the trees (three quarters of the ids) and set the thresholds: per kind the least score from which on the
+    other quarter holds ``precision`` of weak positives. An added kind without such a score takes that of all added kinds
+    together. So that no common kind drowns the others, candidates of one kind weigh as much as ``even`` over the number of kinds at most.
     """
     base = spans.where("valid").withColumn("p", F.lit(None).cast("double"))
     sizes = {r.kind: r["count"] for r in spans.groupBy("kind").count().collect()}  # one row a kind
-    u = F.shiftrightunsigned(F.xxhash64("doc_id", "h", "kind", "start"), 11) / F.lit(float(1 << 53))
-    rate = F.lit(1.0)
+    weight = F.lit(1.0)
     for kind, n in sizes.items():
-        rate = F.when(F.col("kind") == kind, F.lit(sample / len(KINDS) / n)).otherwise(rate)
-    drawn = _with_features(spans.withColumn("u", u).where(F.col("u") < rate)).withColumn("label", _weak_label())
+        weight = F.when(F.col("kind") == kind, F.lit(min(1.0, even / len(KINDS) / n))).otherwise(weight)
+    known = _with_features(spans).withColumn("label", _weak_label())
     part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4))
-    drawn = stored(drawn.select("kind", "features", "label", part.alias("part")), "drawn").coalesce(8)
-    trees = boosted(drawn.where("part <> 0"))
+    known = stored(known.select("kind", "features", "label", weight.alias("weight"), part.alias("part")), "known")
+    trees = boosted(known.where("part <> 0"), weight="weight")
     if trees is None:
         return base
 
     def scored(rows: DataFrame) -> DataFrame:
         return trees.transform(rows).withColumn("p", vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction", "features")
 
-    each = scored(drawn.where("part = 0")).select(F.explode(F.when(F.col("kind").isin(*MORE), F.array("kind", F.lit(""))).otherwise(F.array("kind"))).alias("kind"), "p", "label")
-    steps = each.groupBy("kind", F.round("p", 3).alias("p")).agg(F.sum("label").alias("good"), F.count("*").alias("all"))
+    each = scored(known.where("part = 0")).select(F.explode(F.when(F.col("kind").isin(*MORE), F.array("kind", F.lit(""))).otherwise(F.array("kind"))).alias("kind"), "p", "label", "weight")
+    w = F.when(F.col("kind") == "", F.col("weight")).otherwise(1.0)
+    steps = each.groupBy("kind", F.round("p", 3).alias("p")).agg(F.sum(w * F.col("label")).alias("good"), F.sum(w).alias("all"))
     down = Window.partitionBy("kind").orderBy(F.desc("p"))  # at most 1,001 rows a kind
     limits = (
         steps.withColumn("good", F.sum("good").over(down)).withColumn("all", F.sum("all").over(down))
@@ -199,23 +199,23 @@ def selected(spans: DataFrame, sample: int = 20_000, precision: float = 0.9) ->
     return base.unionByName(more)
 
 
-def personal_spans(docs: DataFrame, sample: int = 20_000, precision: float = 0.9) -> DataFrame:
+def personal_spans(docs: DataFrame, even: int = 20_000, precision: float = 0.9) -> DataFrame:
     """doc_id, h, kind, start, end, base of each span to redact; offsets in code points, end exclusive."""
     spans = stored(candidates(docs), "candidates")
-    return selected(spans, sample, precision).select("doc_id", "h", "kind", "start", "end", F.col("valid").alias("base"))
+    return selected(spans, even, precision).select("doc_id", "h", "kind", "start", "end", F.col("valid").alias("base"))
 
 
 def _count_of(kind: str, spans: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def pii_digest(docs: DataFrame, sample: int = 20_000, precision: float = 0.9) -> DataFrame:
+def pii_digest(docs: DataFrame, even: int = 20_000, precision: float = 0.9) -> DataFrame:
     """Per row of docs(doc_id, text): counts of base spans, their digest, all spans, and counts of those of added kinds and of all.
 
     A null text counts as empty and has none. Repeated rows each get the same result.
     """
     order = F.expr("map(" + ",".join(f"'{k}',{i}" for i, k in enumerate(KINDS)) + ")")
-    spans = personal_spans(docs, sample, precision).withColumn("rank", F.element_at(order, F.col("kind")))
+    spans = personal_spans(docs, even, precision).withColumn("rank", F.element_at(order, F.col("kind")))
     entry = F.struct("start", "rank", "kind", "end", "base")
     grouped = spans.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(entry)).alias("all"))
     written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
